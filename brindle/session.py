@@ -18,7 +18,7 @@ DEFAULTS = {
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "4g", **conf: str) -> SparkSession:
     """A local session with the engine's settings, as tests and bench.py use it."""
-    builder = SparkSession.builder.master(f"local[{cores}]").appName("brindle").config("spark.driver.memory", memory).config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", str(partitions))
+    builder = SparkSession.builder.master(f"local[{cores}]").appName("brindle").config("spark.driver.memory", memory).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", str(partitions))
     for key, value in (DEFAULTS | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
