@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from brindle.llm.bpe import encode_corpus
 from brindle.llm.leak import leaked_items
+from brindle.llm.spam import spam_pages
 from brindle.registry import Registry
 from brindle.session import table
 
@@ -20,3 +21,8 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @LLM.query("p8_found")
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
+
+
+@LLM.query("p9_found")
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam_pages(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id")
