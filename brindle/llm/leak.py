@@ -35,6 +35,10 @@ class LeakRules:
         passage = math.ceil(self.share * words)
         return max(1, passage - self.size + 1 - self.size * math.ceil(self.altered_sure * passage))
 
+    def joint(self, words: int) -> int:
+        """Shingles of the prefix that a passage must share: a prefix longer by so many minus one assures them."""
+        return (self.least_shingles(words) + 1) // 2
+
 
 def _scan(known, least: int, size: int):
     """Documents with at least so many known shingles, and how many documents of the batch each shingle is in."""
@@ -111,11 +115,12 @@ def _verify(items, rules: LeakRules):
         texts = items.value
         for batch in batches:
             docs, found = [], []
-            for row in batch.to_pylist():
-                anchors = [(a["n"], a["place"]) for a in row["anchors"]]
-                if stands_in(row["words"], texts[row["item_id"]], anchors, rules):
-                    docs.append(row["doc_id"])
-                    found.append(row["item_id"])
+            for doc, words, candidates in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                words = words.values.to_numpy(zero_copy_only=False).tolist()
+                for c in candidates:
+                    if stands_in(words, texts[c["item_id"]], [(a["n"], a["place"]) for a in c["anchors"]], rules):
+                        docs.append(doc)
+                        found.append(c["item_id"])
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(found, pa.int64())], names=["doc_id", "item_id"])
 
     return run
@@ -129,19 +134,20 @@ def _block(rows: DataFrame, items: dict[int, np.ndarray], rules: LeakRules) -> D
     scanned = checkpointed(rows.mapInArrow(_scan(known, least, rules.size), "doc_id bigint, hits array<struct<n: bigint, shingle: bigint>>, words array<bigint>"))
     rarity = scanned.filter("doc_id is null").select(F.explode("hits").alias("h")).groupBy(F.col("h.shingle").alias("shingle")).agg(F.sum("h.n").alias("docs"))
     table = spark.createDataFrame(places, "item_id bigint, words_of_item bigint, place bigint, shingle bigint")
-    least_of = spark.createDataFrame([(i, rules.least_shingles(len(w))) for i, w in items.items()], "item_id bigint, least bigint")
+    least_of = spark.createDataFrame([(i, rules.least_shingles(len(w)), rules.joint(len(w))) for i, w in items.items()], "item_id bigint, least bigint, joint bigint")
     by_rarity = Window.partitionBy("item_id").orderBy("docs", "shingle", "place")
     prefix = (
         table.join(rarity, "shingle", "left").withColumn("docs", F.coalesce("docs", F.lit(0))).withColumn("nth", F.row_number().over(by_rarity))
-        .withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("item_id"))).join(least_of, "item_id").filter((F.col("nth") <= F.col("of") - F.col("least") + 1) & (F.col("docs") > 0))
-        .select("item_id", "words_of_item", "place", "shingle")
+        .withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("item_id"))).join(least_of, "item_id").filter((F.col("nth") <= F.col("of") - F.col("least") + F.col("joint")) & (F.col("docs") > 0))
+        .select("item_id", "words_of_item", "joint", "place", "shingle")
     )
     hits = scanned.filter("doc_id is not null").select("doc_id", F.size("words").alias("words_of_doc"), F.explode("hits").alias("h")).select("doc_id", "words_of_doc", "h.n", "h.shingle")
     room = F.least("n", "place") + F.least(F.col("words_of_doc") - F.col("n"), F.col("words_of_item") - F.col("place"))
     enough = F.col("words_of_item") * rules.share * (1 - rules.altered_most)
-    pairs = hits.join(prefix, "shingle").filter((F.col("words_of_doc") >= enough) & (room >= enough)).groupBy("doc_id", "item_id").agg(F.collect_list(F.struct("n", "place")).alias("anchors"))
+    met = hits.join(prefix, "shingle").filter((F.col("words_of_doc") >= enough) & (room >= enough)).groupBy("doc_id", "item_id", "joint").agg(F.collect_list(F.struct("n", "place")).alias("anchors"))
+    pairs = met.filter(F.size(F.array_distinct("anchors.place")) >= F.col("joint")).groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "anchors")).alias("candidates"))
     texts = spark.sparkContext.broadcast({i: w.view(np.int64).tolist() for i, w in items.items()})
-    candidates = pairs.join(scanned.filter("doc_id is not null").select("doc_id", "words"), "doc_id").select("doc_id", "item_id", "anchors", "words")
+    candidates = pairs.join(scanned.filter("doc_id is not null").select("doc_id", "words"), "doc_id").select("doc_id", "words", "candidates")
     return candidates.mapInArrow(_verify(texts, rules), "doc_id bigint, item_id bigint").distinct()
 
 
@@ -151,8 +157,9 @@ def leaked_items(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item
 
     Method: a prefix-filtered set join on five-word shingles. One pass over the corpus keeps the places of shingles
     that any item has and counts in how many documents each occurs. Item shingles are ordered by that rarity; of n
-    shingles with at least t sure to survive (LeakRules.least_shingles) only the n - t + 1 rarest are joined, since
-    a passage can't miss them all. Length and place bound the pairs, and the passage around each anchor is then
+    shingles with at least t sure to survive (LeakRules.least_shingles) only the n - t + c rarest are joined, since
+    a passage can't miss more than t - c of the rest, and documents that share fewer than c of them are out (c is
+    half of t). Length and place bound the pairs, and the passage around each anchor is then
     verified word by word within an item-sized window. Items are the stated query set: their shingles (of at most
     rules.block items at a time) are broadcast, larger sets take further passes.
 
