@@ -74,9 +74,10 @@ def simhash(tokens: Column) -> Column:
     """64-bit simhash of an array of tokens, repeats counting, as a BIGINT; null for none. A token's bits are the
     first eight bytes of its SHA-256; a bit is set where at least half of the tokens have it."""
     bits = F.transform(tokens, lambda t: F.conv(F.substring(F.sha2(t, 256), 1, 16), 16, -10).cast("bigint"))
-    ones = [F.aggregate(bits, F.lit(0), lambda acc, h, i=i: acc + F.getbit(h, F.lit(i)).cast("int")) for i in range(64)]
-    packed = [F.when(2 * n >= F.size(tokens), F.shiftleft(F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")) for i, n in enumerate(ones)]
-    return F.when(F.size(tokens) > 0, reduce(lambda a, b: a.bitwiseOR(b), packed))
+    places = F.sequence(F.lit(0), F.lit(63))
+    ones = F.aggregate(bits, F.array_repeat(F.lit(0), 64), lambda acc, h: F.zip_with(acc, places, lambda n, i: n + F.getbit(h, i).cast("int")))
+    set_bits = F.zip_with(ones, places, lambda n, i: F.when(2 * n >= F.size(tokens), F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")))
+    return F.when(F.size(tokens) > 0, F.aggregate(set_bits, F.lit(0).cast("bigint"), lambda acc, b: acc.bitwiseOR(b)))
 
 
 def hamming_similarity(left_hex: Column, right_hex: Column) -> Column:

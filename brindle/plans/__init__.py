@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["problems", "ranking", "history"]
+MODULES = ["problems", "ranking", "history", "functions"]
 
 
 def load() -> None:
