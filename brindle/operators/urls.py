@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from brindle.functions.url import normalize_url, url_part
 
 #: Parts of addresses that lead to endless pages.
-TRAP_TOKENS = ["/calendar/", "/search/", "replytocom", "/print/", "sessionid", "/feed/"]
+TRAP_TOKENS = ["/calendar/", "/search/", "/feed/", "/page/999", "/wp-json/"]
 
 
 def is_trap(url: Column) -> Column:
     """More than four query pairs, a trap token, more than ten path segments, or one segment four times or more."""
-    parts = F.filter(F.split(url_part(url, "path"), "/"), lambda s: s != "")
+    path = F.lower(url_part(url, "path"))
+    parts = F.filter(F.split(path, "/"), lambda s: s != "")
     pairs = F.filter(F.split(url_part(url, "query"), "&"), lambda s: s != "")
     repeated = F.exists(parts, lambda s: F.size(F.filter(parts, lambda x: x == s)) >= 4)
-    tokens = reduce(lambda a, b: a | b, [F.lower(url).contains(t) for t in TRAP_TOKENS])
+    tokens = reduce(lambda a, b: a | b, [path.contains(t) for t in TRAP_TOKENS])
     return (F.size(pairs) > 4) | tokens | (F.size(parts) > 10) | repeated
 
 

@@ -104,8 +104,8 @@ def url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "trap_url",
-    "WITH t AS (SELECT DISTINCT url, list_filter(string_split(" + URL.format("url") + ", '/'), lambda x: x <> '') AS p, list_filter(string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '&'), lambda x: x <> '') AS q FROM observations WHERE url IS NOT NULL)"
-    " SELECT url, len(q) > 4 OR len(p) > 10 OR " + " OR ".join(f"contains(lower(url), '{t}')" for t in TRAP_TOKENS) + " OR len(list_filter(p, lambda x: len(list_filter(p, lambda y: y = x)) >= 4)) > 0 AS trap FROM t",
+    "WITH t AS (SELECT DISTINCT url, list_filter(string_split(lower(" + URL.format("url") + "), '/'), lambda x: x <> '') AS p, lower(" + URL.format("url") + ") AS path, list_filter(string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '&'), lambda x: x <> '') AS q FROM observations WHERE url IS NOT NULL)"
+    " SELECT url, len(q) > 4 OR len(p) > 10 OR " + " OR ".join(f"contains(path, '{t}')" for t in TRAP_TOKENS) + " OR len(list_filter(p, lambda x: len(list_filter(p, lambda y: y = x)) >= 4)) > 0 AS trap FROM t",
 )
 def trap_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "observations").select("url").filter("url is not null").distinct().withColumn("trap", is_trap(F.col("url")))
