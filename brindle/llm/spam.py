@@ -34,9 +34,11 @@ class SpamRules:
     part_repeated: int = 4
     dense: int = 5
     dense_reach: int = 16
-    #: Tokens on either side over which the evidence is averaged; how much a single unknown word speaks for prose.
+    #: Tokens on either side over which the evidence is averaged; how much an unknown word speaks against such matter,
+    #: and a number.
     reach: int = 10
     unknown: float = 0.6
+    numbers: float = 0.4
     #: So much of a link's length is evidence, so that a few links among their descriptions are none.
     link_evidence: int = 12
     #: Category links from which a page is a list of them; labels (#word, word-word-12) likewise.
@@ -75,8 +77,8 @@ class _Vocabulary(dict):
             kind = NUMBER if token.isdigit() else WORD
         whole = xxhash.xxh3_64_intdigest(token) >> 1
         long = kind == WORD and len(token) >= 6
-        head = xxhash.xxh3_64_intdigest("^" + token[:4]) >> 1 if long else 0
-        tail = xxhash.xxh3_64_intdigest("$" + token[-4:]) >> 1 if long else 0
+        head = xxhash.xxh3_64_intdigest("^" + token[:4]) >> 1 if long and token[:4].isalpha() else 0
+        tail = xxhash.xxh3_64_intdigest("$" + token[-4:]) >> 1 if long and token[-4:].isalpha() else 0
         self[token] = number = len(self.rows)
         self.rows.append((whole, head, tail, kind, len(token) + 1))
         return number
@@ -108,9 +110,9 @@ def tokens_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pair_keys(rows: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of neighbouring words of one text and the key of each pair: positive, the same for both orders but for
-    its lowest bit."""
-    at = np.flatnonzero((doc[1:] == doc[:-1]) & (rows[1:, 3] == WORD) & (rows[:-1, 3] == WORD)) if len(doc) else np.zeros(0, int)
+    """Places of different neighbouring words of one text and the key of each pair: positive, the same for both orders
+    but for its lowest bit."""
+    at = np.flatnonzero((doc[1:] == doc[:-1]) & (rows[1:, 3] == WORD) & (rows[:-1, 3] == WORD) & (rows[1:, 0] != rows[:-1, 0])) if len(doc) else np.zeros(0, int)
     a, b = rows[at, 0], rows[at + 1, 0]
     less = a < b
     low, high = np.where(less, a, b).view(np.uint64), np.where(less, b, a).view(np.uint64)
@@ -198,7 +200,7 @@ def matter_shares(texts: list[str | None], known: np.ndarray, common: np.ndarray
     counted = np.where(kind == LINK, np.minimum(weight, rules.link_evidence), weight)
     good = ~bad & ~neutral & coherent
     unknown = ~bad & ~neutral & ~coherent
-    evidence = _around(counted * (bad.astype(float) - good - rules.unknown * unknown), doc, rules.reach)
+    evidence = _around(counted * (bad.astype(float) - good - rules.unknown * unknown - rules.numbers * (kind == NUMBER)), doc, rules.reach)
     matter = np.bincount(doc, weight * ((evidence > 0) & (kind != TAG)), minlength=len(texts))
     total = np.bincount(doc, weight * (kind != TAG), minlength=len(texts))
     enough = np.bincount(doc, minlength=len(texts)) >= rules.least_tokens
