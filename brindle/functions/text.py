@@ -124,7 +124,7 @@ def wilson(successes: Column, n: Column, z: float = 1.96) -> tuple[Column, Colum
 
 
 def pipe_to_array(x: Column) -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), r"\|"), F.trim), lambda p: p != "")
+    return F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), r"\|"), lambda p: F.trim(p)), lambda p: p != "")
 
 
 def slug(x: Column) -> Column:

@@ -12,7 +12,8 @@ def parse_instant(text: Column) -> Column:
     trimmed = F.trim(text)
     has_zone = trimmed.rlike(r"(?:[zZ]|[T ]\d.*[+-]\d{2}(?::?\d{2})?)$")
     spelled = F.regexp_replace(trimmed, r"([T ]\d.*[+-]\d{2})(\d{2})$", "$1:$2")
-    return F.when(has_zone, spelled).otherwise(F.concat(trimmed, F.lit("Z"))).try_cast("timestamp")
+    whole = F.when(trimmed.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(trimmed, F.lit("T00:00:00Z"))).when(has_zone, spelled).otherwise(F.concat(trimmed, F.lit("Z")))
+    return whole.try_cast("timestamp")
 
 
 def parse_micros(text: Column) -> Column:

@@ -16,17 +16,26 @@ def url_part(url: Column, part: str) -> Column:
     return F.regexp_extract(url, _SPLIT, {"scheme": 1, "netloc": 2, "path": 3, "query": 4}[part])
 
 
+def _decoded(x: Column) -> Column:
+    return F.coalesce(F.try_url_decode(x), x)
+
+
+def _encoded(x: Column) -> Column:
+    """Form encoding with '~' as it is and '*' encoded."""
+    return F.replace(F.replace(F.url_encode(x), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
+
+
 def normalize_url(url: Column) -> Column:
     """One spelling per page: trimmed, scheme and host in lower case, no fragment, no tracking keys, the other
-    query pairs sorted, '/' for an empty path. Null and blank URLs give ''."""
+    query pairs sorted and in one encoding, '/' for an empty path. Null and blank URLs give ''."""
     raw = F.trim(F.coalesce(url, F.lit("")))
     query = url_part(raw, "query")
     pairs = F.transform(
         F.filter(F.split(query, "&"), lambda p: F.length(p) > 0),
-        lambda p: F.struct(F.regexp_extract(p, "^([^=]*)", 1).alias("k"), F.regexp_replace(p, "^[^=]*=?", "").alias("v")),
+        lambda p: F.struct(_decoded(F.regexp_extract(p, "^([^=]*)", 1)).alias("k"), _decoded(F.regexp_replace(p, "^[^=]*=?", "")).alias("v")),
     )
     kept = F.filter(pairs, lambda p: ~(F.lower(p["k"]).startswith("utm_") | F.lower(p["k"]).isin(*TRACKING_KEYS)))
-    text = F.array_join(F.transform(F.array_sort(kept), lambda p: F.concat(p["k"], F.lit("="), p["v"])), "&")
+    text = F.array_join(F.transform(F.array_sort(kept), lambda p: F.concat(_encoded(p["k"]), F.lit("="), _encoded(p["v"]))), "&")
     path = url_part(raw, "path")
     scheme, netloc = F.lower(url_part(raw, "scheme")), F.lower(url_part(raw, "netloc"))
     return F.when(raw == "", raw).otherwise(
@@ -34,9 +43,7 @@ def normalize_url(url: Column) -> Column:
             F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")),
             F.when(netloc != "", F.concat(F.lit("//"), netloc)).otherwise(F.lit("")),
             F.when(path == "", F.lit("/")).otherwise(path),
-            F.when(query.contains("="), F.when(F.size(kept) > 0, F.concat(F.lit("?"), text)).otherwise(F.lit("")))
-            .when((query != "") & (F.size(kept) > 0), F.concat(F.lit("?"), text))
-            .otherwise(F.lit("")),
+            F.when(F.size(kept) > 0, F.concat(F.lit("?"), text)).otherwise(F.lit("")),
         )
     )
 
