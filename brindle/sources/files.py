@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-OBSERVATION = T.StructType.fromDDL(
+OBSERVATION = (
     "recipe_id STRING, timestamp STRING, source STRING, url STRING, title STRING, rating DOUBLE, rating_count BIGINT, evidence_confidence DOUBLE, evidence_status STRING, extraction_method STRING, page_hash STRING, schema_version INT,"
     " dom_fingerprint STRING, schema_signature STRING, canonical_url STRING, author STRING, ingredient_signature STRING, instruction_signature STRING, instruction_simhash STRING, image_fingerprint STRING, image_perceptual_hash STRING,"
     " categories ARRAY<STRING>, rating_histogram MAP<STRING, BIGINT>, fetch_status STRING"
 )
 
 
-def read_log(spark: SparkSession, path: str, schema: T.StructType = OBSERVATION, strict: bool = False) -> DataFrame:
+def read_log(spark: SparkSession, path: str, schema: str = OBSERVATION, strict: bool = False) -> DataFrame:
     """All records of a tree of JSON-line files, with file; bad lines are left out, or fail the read if strict."""
     reader = spark.read.schema(schema).option("recursiveFileLookup", "true").option("mode", "FAILFAST" if strict else "DROPMALFORMED")
     return reader.json(path).withColumn("file", F.col("_metadata.file_path"))
