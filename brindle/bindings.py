@@ -13,21 +13,25 @@ RATING_BOUNDS = (0.0, 5.05)
 COUNT_BOUNDS = (1, 99_999_999)
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per recipe and instant with possible values, of repeated deliveries the last."""
+def _valid(spark: SparkSession, sf_dir: str, fields: list[str]) -> DataFrame:
     o = table(spark, sf_dir, "observations")
-    fields = ["source", "url", "title", "evidence_confidence", "evidence_status", "page_hash", "categories", "rating_histogram"]
     rows = o.select(F.col("recipe_id").alias("key"), parse_micros(F.col("timestamp")).alias("t"), "obs_id", "rating", F.col("rating_count").alias("n"), *fields)
-    good = rows.filter(F.col("key").isNotNull() & F.col("t").isNotNull() & F.col("rating").between(*RATING_BOUNDS) & F.col("n").between(*COUNT_BOUNDS))
+    return rows.filter(F.col("key").isNotNull() & F.col("t").isNotNull() & F.col("rating").between(*RATING_BOUNDS) & F.col("n").between(*COUNT_BOUNDS))
+
+
+def readings(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
+    """One row per recipe and instant with possible values, of repeated deliveries the last; with further fields of
+    the log where they are asked for, so that no unused column is carried through the shuffle."""
     best = F.max_by(F.struct("rating", "n", *fields), F.col("obs_id")).alias("r")
-    return good.groupBy("key", "t").agg(best).select("key", "t", "r.*")
+    return _valid(spark, sf_dir, list(fields)).groupBy("key", "t").agg(best).select("key", "t", "r.*")
 
 
-def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The current state: the latest reading of every recipe, as the scorer's items."""
-    o = readings(spark, sf_dir)
-    last = o.groupBy("key").agg(F.max_by(F.struct(*[c for c in o.columns if c != "key"]), F.col("t")).alias("r"))
-    return last.select(F.col("key").alias("id"), "r.source", "r.rating", "r.n", F.col("r.evidence_confidence").alias("confidence"), "r.categories", F.col("r.rating_histogram").alias("histogram"), "r.t", "r.title", "r.url", "r.evidence_status")
+def recipes(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
+    """The current state: the latest possible reading of every recipe, as the scorer's items. One aggregate that
+    combines before the shuffle, whatever the readings of a recipe."""
+    names = ["source", "evidence_confidence", "categories", "rating_histogram", *fields]
+    last = _valid(spark, sf_dir, names).groupBy("key").agg(F.max_by(F.struct("t", "rating", "n", *names), F.struct("t", "obs_id")).alias("r"))
+    return last.select(F.col("key").alias("id"), "r.source", "r.rating", "r.n", F.col("r.evidence_confidence").alias("confidence"), "r.categories", F.col("r.rating_histogram").alias("histogram"), "r.t", *[f"r.{f}" for f in fields])
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,10 +10,12 @@ def parse_instant(text: Column) -> Column:
     """ISO text as a UTC TIMESTAMP: 'Z' and '+02:00' are honoured, text without an offset is UTC whatever the
     session's zone, anything unreadable (and null or empty text) is null."""
     trimmed = F.trim(text)
-    has_zone = trimmed.rlike(r"(?:[zZ]|[T ]\d.*[+-]\d{2}(?::?\d{2})?)$")
+    # the usual spellings are told by single characters; patterns are left to the rest
+    usual = trimmed.endswith("Z") | (F.substring(trimmed, -6, 1).isin("+", "-") & (F.substring(trimmed, -3, 1) == ":") & (F.length(trimmed) > 16))
+    zoned = trimmed.rlike(r"(?:[zZ]|[T ]\d.*[+-]\d{2}(?::?\d{2})?)$")
     spelled = F.regexp_replace(trimmed, r"([T ]\d.*[+-]\d{2})(\d{2})$", "$1:$2")
-    whole = F.when(trimmed.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(trimmed, F.lit("T00:00:00Z"))).when(has_zone, spelled).otherwise(F.concat(trimmed, F.lit("Z")))
-    return whole.try_cast("timestamp")
+    day = F.concat(trimmed, F.lit("T00:00:00Z"))
+    return F.when(usual, trimmed).when(zoned, spelled).when(F.length(trimmed) == 10, day).otherwise(F.concat(trimmed, F.lit("Z"))).try_cast("timestamp")
 
 
 def parse_micros(text: Column) -> Column:

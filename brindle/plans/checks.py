@@ -24,7 +24,7 @@ _PREV = f"WITH {READINGS}, p AS (SELECT key AS id, rating, n, evidence_confidenc
     " UNION ALL SELECT id, 'rating_shift', 'medium' FROM c WHERE round(abs(rating - pr), 9) >= 0.25 UNION ALL SELECT id, 'evidence_conflict', 'high' FROM c WHERE status = 'conflict' OR confidence < 0.60) GROUP BY ALL",
 )
 def row_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = readings(spark, sf_dir)
+    o = readings(spark, sf_dir, "evidence_confidence", "evidence_status")
     p = previous_values(o).join(o.select("key", "t", F.col("evidence_confidence").alias("confidence"), F.col("evidence_status").alias("status")), ["key", "t"])
     rows = p.select(F.col("key").alias("id"), "rating", "n", "previous_rating", "previous_n", ((F.col("t") - F.col("previous_t")) / HOUR_US).alias("hours"), "confidence", "status")
     return Q.row_anomalies(rows).groupBy("id", "type", "severity").agg(F.count(F.lit(1)).alias("found"))

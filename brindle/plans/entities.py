@@ -115,7 +115,7 @@ def collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     " SELECT source, c.targets AS targets, s.targets AS run_targets, s.errors AS errors, coalesce(CASE WHEN s.errors > 0 THEN 'seen_errors' END, CASE WHEN c.targets > 0 THEN 'recipes' END, 'none') AS status FROM b LEFT JOIN c USING (source) LEFT JOIN s USING (source)",
 )
 def coverage_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = readings(spark, sf_dir).groupBy("source").agg(F.count_distinct("key").alias("targets"))
+    c = readings(spark, sf_dir, "source").groupBy("source").agg(F.count_distinct("key").alias("targets"))
     s = coverage(spark, sf_dir).groupBy("source").agg(F.sum("targets").alias("targets"), F.sum("errors").alias("errors"))
     base = c.select("source").union(s.select("source")).distinct()
     merged = R.merge_by_key(base, "source", {"recipes": c, "run": s})
@@ -178,12 +178,12 @@ def query_family(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("status_counts", f"WITH {RECIPES} SELECT source, evidence_status, count(*) AS c, grouping(source) AS gs, grouping(evidence_status) AS ge FROM recipes GROUP BY ROLLUP (source, evidence_status)")
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recipes(spark, sf_dir).rollup("source", "evidence_status").agg(F.count(F.lit(1)).alias("c"), F.grouping("source").cast("bigint").alias("gs"), F.grouping("evidence_status").cast("bigint").alias("ge"))
+    return recipes(spark, sf_dir, "evidence_status").rollup("source", "evidence_status").agg(F.count(F.lit(1)).alias("c"), F.grouping("source").cast("bigint").alias("gs"), F.grouping("evidence_status").cast("bigint").alias("ge"))
 
 
 @query("rating_pivot", f"WITH {READINGS}, m AS (SELECT source, t // 604800000000 AS week, rating FROM readings), x AS (SELECT max(week) AS w FROM m) SELECT source, " + ", ".join(f"round(avg(rating) FILTER (WHERE week = w - {i}), 6) AS week_{i}" for i in range(4)) + " FROM m, x GROUP BY source")
 def rating_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = readings(spark, sf_dir).select("source", F.floor(F.col("t") / 604_800_000_000).alias("week"), "rating")
+    o = readings(spark, sf_dir, "source").select("source", F.floor(F.col("t") / 604_800_000_000).alias("week"), "rating")
     last = o.agg(F.max("week").alias("w"))
     placed = o.crossJoin(F.broadcast(last)).withColumn("back", (F.col("w") - F.col("week")).cast("int"))
     wide = placed.groupBy("source").pivot("back", [0, 1, 2, 3]).agg(F.round(F.avg("rating"), 6))

@@ -141,7 +141,7 @@ def hamming_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     " round(least(1.0, (k / n::DOUBLE + 3.8416 / (2 * n) + 1.96 * sqrt((k / n::DOUBLE) * (1 - k / n::DOUBLE) / n + 3.8416 / (4 * n * n))) / (1 + 3.8416 / n)), 6)::DOUBLE AS high FROM s",
 )
 def wilson_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = recipes(spark, sf_dir).groupBy(F.col("evidence_status").alias("status")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("rating") >= 4.5).alias("k"))
+    s = recipes(spark, sf_dir, "evidence_status").groupBy(F.col("evidence_status").alias("status")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("rating") >= 4.5).alias("k"))
     low, high = X.wilson(F.col("k"), F.col("n"))
     return s.select("status", "n", "k", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
 
@@ -153,7 +153,7 @@ def wilson_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def percentiles_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interpolated percentiles are exact mergeable aggregates; the nearest-rank one is the lower or upper value that
     percentile_disc gives at the rounded place, so no list of a source's values is built."""
-    o = readings(spark, sf_dir)
+    o = readings(spark, sf_dir, "source")
     stats = o.groupBy("source").agg(F.percentile("n", 0.95).alias("a"), F.median("n").alias("m"), F.count(F.lit(1)).alias("c"))
     place = (F.bround((F.col("c") - 1) * 0.95, 0) + 1).cast("bigint")
     each = o.groupBy("source", "n").agg(F.count(F.lit(1)).alias("k"))

@@ -103,7 +103,7 @@ def trailing_slopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     " SELECT key, count(*) FILTER (WHERE moved) AS changes, max(t) FILTER (WHERE moved) AS last_change FROM c GROUP BY 1",
 )
 def page_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, now = _now(readings(spark, sf_dir))
+    rows, now = _now(readings(spark, sf_dir, "page_hash"))
     return T.value_changes(rows, "page_hash", now)
 
 
@@ -171,7 +171,7 @@ def source_daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("history_span", f"WITH {READINGS} SELECT source, count(*) AS readings, count(DISTINCT key) AS recipes, round((max(t) - min(t)) / {DAY}::DOUBLE, 6) AS days FROM readings GROUP BY 1")
 def history_span(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readings(spark, sf_dir).groupBy("source").agg(F.count(F.lit(1)).alias("readings"), F.count_distinct("key").alias("recipes"), F.round((F.max("t") - F.min("t")) / DAY, 6).alias("days"))
+    return readings(spark, sf_dir, "source").groupBy("source").agg(F.count(F.lit(1)).alias("readings"), F.count_distinct("key").alias("recipes"), F.round((F.max("t") - F.min("t")) / DAY, 6).alias("days"))
 
 
 @query(
@@ -195,7 +195,7 @@ def rank_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
     " WHEN c >= 0.80 AND n >= 100 AND age <= 14 THEN 'B+' WHEN c >= 0.65 AND n >= 50 AND age <= 14 THEN 'B' WHEN age <= 30 THEN 'C' ELSE 'D' END AS grade FROM a",
 )
 def evidence_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, now = _now(recipes(spark, sf_dir))
+    rows, now = _now(recipes(spark, sf_dir, "evidence_status"))
     c, n, s = F.coalesce("confidence", F.lit(0.60)), F.col("n"), F.coalesce("evidence_status", F.lit(""))
     age = (now - F.col("t")) / DAY
     grade = (

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.bindings import recipes
+from brindle.bindings import recipes as current_recipes
 from brindle.operators import score as S
 from brindle.plans.sql import ACTIVE, BASE, GRID36, scored
 from brindle.registry import query
+from brindle.session import checkpointed
+
+
+def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reduced state, written once: the scorer reads it several times, the log is read once."""
+    return checkpointed(current_recipes(spark, sf_dir))
 
 
 def _r(df: DataFrame, *columns: str) -> DataFrame:
