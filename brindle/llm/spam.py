@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
