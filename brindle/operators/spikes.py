@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.time import parse_micros
+from brindle.session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,8 @@ class SpikeRules:
     least_score: float = 0.33
     #: A key with more readings is split by time, with as many readings of the neighbouring parts as halo.
     hot_rows: int = 20_000
+    #: Up to so many sources their statistics are broadcast (some 60 bytes each); more are joined.
+    broadcast_sources: int = 20_000
     halo: int = 64
 
 
@@ -257,14 +260,16 @@ def reading_scores(df: DataFrame, key: str, source: str, timestamp: str, rating:
         F.min("source").alias("source"), F.min("r").alias("rating_min"), F.max("r").alias("rating_max"), F.min("c").alias("count_min"), F.max("c").alias("count_max")
     )
     series = split_hot(readings, "key", "t", rules.hot_rows, rules.halo).repartition("key", "part").sortWithinPartitions("key", "part", "t")
-    features = series.mapInArrow(_feature_batches(rules), _OUT_DDL)
-    normal = features.groupBy("source").agg(
+    features = checkpointed(series.mapInArrow(_feature_batches(rules), _OUT_DDL))  # read three times below
+    normal = checkpointed(features.groupBy("source").agg(
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("noise_count", 0.5).alias("mad_count"),
         F.percentile_approx("noise_rating", 0.5).alias("mad_rating"),
         F.percentile_approx(F.when(F.col("run_at") == 1, F.col("run_length")), 0.98).alias("run_98"),
-    )
-    known = features.join(normal, "source")
+    ))
+    # beside each reading what is normal for its source: without a shuffle by source where there are few sources
+    few = normal.count() <= rules.broadcast_sources
+    known = features.join(F.broadcast(normal) if few else normal, "source")
     luck = F.pmod(F.xxhash64("key", "t"), F.lit(1_000_003)) / 1_000_003.0
     models = known.filter(luck < F.lit(rules.fit_rows) / F.col("n")).select("source", *FEATURES).groupBy("source").applyInPandas(_fit_source(rules), "source string, forest binary")
     share = F.ceil(F.col("n") / 50_000).cast("bigint")
