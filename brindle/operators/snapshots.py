@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,6 +77,3 @@ def same_to(column: Column, digits: int) -> Column:
     """A double compared at a number of decimals, -0.0 as 0.0."""
     return F.round(column, digits) + F.lit(0.0)
 
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle.bindings import readings, recipes
 from brindle.functions import text as X
 from brindle.functions.time import parse_micros
 from brindle.functions.url import normalize_domain, normalize_url, url_host
+from brindle.operators.score import histogram_variance as variance
 from brindle.operators.urls import TRAP_TOKENS, alias_groups, is_trap
 from brindle.plans.problems import SQL_INSTANT
 from brindle.plans.sql import READINGS, RECIPES
@@ -99,7 +100,7 @@ def url_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "observations").select("canonical_url", parse_micros(F.col("timestamp")).alias("t"))
-    return alias_groups(o, "canonical_url", "t", "t").withColumnRenamed("rows", "rows")
+    return alias_groups(o, "canonical_url", "t", "t")
 
 
 @query(
@@ -152,13 +153,11 @@ def wilson_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def percentiles_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interpolated percentiles are exact mergeable aggregates; the nearest-rank one is the lower or upper value that
-    percentile_disc gives at the rounded place, so no list of a source's values is built."""
+    the running counts reach at the rounded place, so no list of a source's values is built."""
     o = readings(spark, sf_dir, "source")
     stats = o.groupBy("source").agg(F.percentile("n", 0.95).alias("a"), F.median("n").alias("m"), F.count(F.lit(1)).alias("c"))
     place = (F.bround((F.col("c") - 1) * 0.95, 0) + 1).cast("bigint")
     each = o.groupBy("source", "n").agg(F.count(F.lit(1)).alias("k"))
-    from pyspark.sql import Window
-
     upto = each.withColumn("upto", F.sum("k").over(Window.partitionBy("source").orderBy("n"))).join(stats.select("source", place.alias("place")), "source").filter(F.col("upto") >= F.col("place"))
     nearest = upto.groupBy("source").agg(F.min("n").alias("p95_nearest"))
     return stats.join(nearest, "source").select("source", F.round("a", 6).alias("p95_linear"), F.round("m", 6).alias("median"), "p95_nearest")
@@ -186,6 +185,4 @@ def slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("histogram_variance", f"WITH {RECIPES}, e AS (SELECT id, unnest(map_entries(histogram)) AS e FROM recipes), s AS (SELECT id, sum(e.value)::DOUBLE AS n, sum(e.key::DOUBLE * e.value) AS a, sum(e.key::DOUBLE * e.key::DOUBLE * e.value) AS b FROM e GROUP BY 1) SELECT id, round(greatest(0.0, (b - a * a / n) / (n - 1)), 6) + 0.0 AS variance FROM s WHERE n > 1")
 def histogram_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from brindle.operators.score import histogram_variance as variance
-
     return recipes(spark, sf_dir).select("id", (F.round(variance(F.col("histogram")), 6) + F.lit(0.0)).alias("variance")).filter("variance is not null")

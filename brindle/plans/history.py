@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brindle.bindings import coverage, readings, recipes, snapshots
@@ -20,7 +20,7 @@ def _r(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in columns})
 
 
-def _now(o: DataFrame) -> tuple[DataFrame, F.Column]:
+def _now(o: DataFrame) -> tuple[DataFrame, Column]:
     """Readings with the latest instant of the log beside each, by a one-row broadcast."""
     return o.crossJoin(F.broadcast(o.agg(F.max("t").alias("now")))), F.col("now")
 
@@ -81,9 +81,7 @@ def _since(days: int) -> str:
     " round(v7, 6) + 0.0 AS velocity_7d, round(vb, 6) + 0.0 AS velocity_before, round(v7 - vb, 6) + 0.0 AS acceleration FROM v",
 )
 def trailing_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = readings(spark, sf_dir)
-    latest = o.agg(F.max("t").alias("now"))
-    rows, now = o.crossJoin(F.broadcast(latest)), F.col("now")
+    rows, now = _now(readings(spark, sf_dir))
     return _r(T.trailing_metrics(rows, now), "trend_30d", "velocity_7d", "velocity_before", "acceleration")
 
 
@@ -163,8 +161,6 @@ def run_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {COVERAGE} SELECT source, run_day, targets, sum(targets) OVER w AS targets_7d, round(avg(errors) OVER w, 6) AS errors_7d FROM coverage WINDOW w AS (PARTITION BY source ORDER BY run_day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)",
 )
 def source_daily_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
     week = Window.partitionBy("source").orderBy(F.unix_date("run_day")).rangeBetween(-6, 0)
     return coverage(spark, sf_dir).select("source", "run_day", "targets", F.sum("targets").over(week).alias("targets_7d"), F.round(F.avg("errors").over(week), 6).alias("errors_7d"))
 
@@ -180,8 +176,6 @@ def history_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     " SELECT s.board_id, s.run_id, s.key, s.rank, p.rank AS previous_rank, p.rank - s.rank AS movement FROM snapshots s JOIN r USING (board_id, run_id) LEFT JOIN snapshots p ON p.board_id = s.board_id AND p.run_id = r.prev AND p.key = s.key",
 )
 def rank_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
     s = snapshots(spark, sf_dir)
     runs = s.groupBy("board_id", "run_id").agg(F.max("t").alias("rt")).withColumn("prev", F.lag("run_id").over(Window.partitionBy("board_id").orderBy("rt", "run_id"))).drop("rt")
     before = s.select("board_id", F.col("run_id").alias("prev"), "key", F.col("rank").alias("previous_rank"))
