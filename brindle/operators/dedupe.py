@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from difflib import SequenceMatcher
 
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brindle.functions import text as X
 from brindle.operators.graph import connected_components
@@ -47,16 +47,10 @@ def blocked_pairs(keys: DataFrame) -> DataFrame:
     return x.join(y, "key").filter("a < b").select("a", "b").distinct()
 
 
-def _ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        ratio = [SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(left, right, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ratio, pa.float64())], names=["a", "b", "title"])
-
-
-def title_ratios(pairs: DataFrame, id_type: str = "bigint") -> DataFrame:
-    """(a, b, title): Ratcliff-Obershelp ratio of (a, b, x, y); Spark has no built-in with these results."""
-    return pairs.select("a", "b", "x", "y").mapInArrow(_ratios, f"a {id_type}, b {id_type}, title double")
+@F.pandas_udf(T.DoubleType())
+def sequence_ratio(x: pd.Series, y: pd.Series) -> pd.Series:
+    """Ratcliff-Obershelp ratio of two texts, nulls as empty ones; Spark has no built-in with these results."""
+    return pd.Series([SequenceMatcher(None, a or "", b or "").ratio() for a, b in zip(x, y, strict=True)], dtype=float)
 
 
 def similarity(pairs: DataFrame, p: DataFrame) -> DataFrame:
@@ -66,8 +60,7 @@ def similarity(pairs: DataFrame, p: DataFrame) -> DataFrame:
     right = p.select(*[F.col(c).alias("b" if c == "id" else f"r_{c}") for c in p.columns])
     both = pairs.join(left, "a").join(right, "b")
     empty = (F.col("l_form") == "") | (F.col("r_form") == "")
-    ratios = title_ratios(both.select("a", "b", F.when(empty, F.col("l_plain")).otherwise(F.col("l_form")).alias("x"), F.when(empty, F.col("r_plain")).otherwise(F.col("r_form")).alias("y")), dict(p.dtypes)["id"])
-    rows = both.join(ratios, ["a", "b"])
+    rows = both.withColumn("title", sequence_ratio(F.when(empty, F.col("l_plain")).otherwise(F.col("l_form")), F.when(empty, F.col("r_plain")).otherwise(F.col("r_form"))))
     title = F.col("title")
     items, steps = X.jaccard(F.col("l_items"), F.col("r_items")), X.jaccard(F.col("l_steps"), F.col("r_steps"))
     simhash, image = X.hamming_similarity(F.col("l_simhash"), F.col("r_simhash")), X.hamming_similarity(F.col("l_image"), F.col("r_image"))

@@ -42,8 +42,9 @@ def drain(stream: DataFrame, mode: str) -> DataFrame:
 
 
 def instants(events: DataFrame, ts: str = "ts") -> DataFrame:
-    """Event time as TIMESTAMP, which watermarks need."""
-    return events.withColumn(ts, F.col(ts).cast("timestamp"))
+    """Event time as TIMESTAMP, which watermarks need; times without a zone are UTC whatever the session's zone."""
+    plain = dict(events.dtypes)[ts] == "timestamp_ntz"
+    return events.withColumn(ts, (F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts) if plain else F.col(ts)).cast("timestamp"))
 
 
 def tumbling(events: DataFrame, width: str = "1 day") -> DataFrame:
