@@ -29,8 +29,7 @@ def same_site(host: Column, domain: Column) -> Column:
 
 def alias_groups(rows: DataFrame, url: str, first: str, last: str) -> DataFrame:
     """(page, spellings, rows, first_seen, last_seen): URLs that differ in spelling only, merged; blank URLs left out.
-    All aggregates combine before the shuffle, so a page with a third of all rows is no hot spot."""
-    page = normalize_url(F.col(url))
-    kept = rows.select(page.alias("page"), F.trim(url).alias("raw"), F.col(first).alias("a"), F.col(last).alias("z")).filter("page <> ''")
-    each = kept.groupBy("page", "raw").agg(F.count(F.lit(1)).alias("n"), F.min("a").alias("a"), F.max("z").alias("z"))
+    Each spelling is normalised once, after its rows are counted. All aggregates combine before the shuffle, so a page with a third of all rows is no hot spot."""
+    kept = rows.select(F.trim(url).alias("raw"), F.col(first).alias("a"), F.col(last).alias("z")).filter("raw <> ''")
+    each = kept.groupBy("raw").agg(F.count(F.lit(1)).alias("n"), F.min("a").alias("a"), F.max("z").alias("z")).withColumn("page", normalize_url(F.col("raw")))
     return each.groupBy("page").agg(F.count(F.lit(1)).alias("spellings"), F.sum("n").alias("rows"), F.min("a").alias("first_seen"), F.max("z").alias("last_seen"))

@@ -97,14 +97,14 @@ SELECT node, min(seen) AS component FROM walk GROUP BY 1""",
 )
 def components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recipes connected by a page that both were ever seen under; each page links its recipes to the smallest."""
-    o = table(spark, sf_dir, "observations").filter("trim(canonical_url) <> '' and recipe_id is not null").select("recipe_id", normalize_url(F.col("canonical_url")).alias("p")).distinct()
+    o = table(spark, sf_dir, "observations").filter("trim(canonical_url) <> '' and recipe_id is not null").select("recipe_id", "canonical_url").distinct().select("recipe_id", normalize_url(F.col("canonical_url")).alias("p")).distinct()
     least = o.groupBy("p").agg(F.min("recipe_id").alias("b"))
     return connected_components(o.join(least, "p").filter("recipe_id <> b").select(F.col("recipe_id").alias("a"), "b"))
 
 
 @query("collisions", f"WITH t AS (SELECT recipe_id, trim(canonical_url) AS u FROM observations WHERE trim(canonical_url) <> ''), p AS (SELECT {PAGE} AS page, recipe_id FROM t) SELECT page, count(DISTINCT recipe_id) AS members, min(recipe_id) AS first_member FROM p GROUP BY 1 HAVING count(DISTINCT recipe_id) > 1")
 def collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "observations").select("recipe_id", normalize_url(F.col("canonical_url")).alias("page"))
+    o = table(spark, sf_dir, "observations").select("recipe_id", "canonical_url").distinct().select("recipe_id", normalize_url(F.col("canonical_url")).alias("page"))
     return R.shared_values(o, "page", "recipe_id")
 
 
