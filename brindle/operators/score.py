@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: The least share of the theoretical uncertainty that a ready bucket's history may leave.
+EMPIRICAL_FLOOR = 0.25
+
+
 @dataclass(frozen=True)
 class Params:
     """One point of the parameter grid."""
@@ -97,25 +101,35 @@ def grid_frame(spark: SparkSession, grid: list[Params]) -> DataFrame:
     return spark.createDataFrame([asdict(p) for p in grid], ", ".join(f"{k} {'int' if k == 'scenario' else 'double'}" for k in asdict(grid[0])))
 
 
-def score_items(items: DataFrame, grid: list[Params] | None = None) -> DataFrame:
+def score_items(items: DataFrame, grid: list[Params] | None = None, calibration: DataFrame | None = None) -> DataFrame:
     """Scores of all items under every parameter set of a grid.
 
     items: (id, source, rating, n, confidence, categories, histogram), one row per id. Prior, baselines, expected
     ratings and residuals don't depend on the scenario, so they are computed once; only the last projection meets
-    the grid, whose size is fixed by its list. Nulls: a null confidence is 0.60, null or empty categories mean the
-    prior, a null or empty histogram the theoretical uncertainty. An empty table gives no rows.
+    the grid, whose size is fixed by its list. calibration: (bucket, penalty, ready), one row per volume bucket, as
+    timeseries.calibration gives it. The uncertainty is that of the histogram; without one, the penalty of the
+    item's bucket where that is ready, but at least EMPIRICAL_FLOOR of the theoretical one; else the theoretical one.
+    Nulls: a null confidence is 0.60, null or empty categories mean the prior, a null or empty histogram is none, a
+    null penalty or ready is not ready. An empty table gives no rows.
     """
     grid = grid or [Params()]
     expected = expected_ratings(items)
     residual = source_residuals(expected).select("source", "shrunk")
     quantile = items.agg(F.percentile("n", grid[0].volume_quantile).alias("volume"))
     rows = expected.join(residual, "source").crossJoin(F.broadcast(quantile)).crossJoin(F.broadcast(grid_frame(items.sparkSession, grid)))
+    if calibration is None:
+        rows = rows.withColumn("empirical", F.lit(None).cast("double"))
+    else:
+        history = calibration.filter("ready").select(F.col("bucket").alias("volume_bucket"), F.col("penalty").alias("empirical"))
+        rows = rows.withColumn("volume_bucket", volume_bucket(F.col("n"))).join(F.broadcast(history), "volume_bucket", "left")
     m = F.greatest(F.lit(1.0), F.greatest("minimum_volume_prior", "volume") * F.col("volume_multiplier"))
     bias = F.greatest(-F.col("bias_cap"), F.least("bias_cap", "shrunk"))
     adjusted = F.greatest(F.lit(0.0), F.least(F.lit(5.0), F.col("rating") - F.col("bias")))
     count = F.greatest(F.lit(1.0), F.col("n") + F.col("m"))
     spread = histogram_variance(F.col("histogram"))
-    uncertainty = F.least("uncertainty_cap", F.coalesce(1.96 * F.sqrt(F.col("spread") / count), 1.96 * 2.5 / F.sqrt(count)))
+    theory = F.least("uncertainty_cap", 1.96 * 2.5 / F.sqrt(count))
+    blended = F.when(F.col("empirical").isNotNull(), F.greatest(F.col("empirical"), EMPIRICAL_FLOOR * theory))
+    uncertainty = F.least("uncertainty_cap", F.coalesce(1.96 * F.sqrt(F.col("spread") / count), blended, theory))
     evidence = F.greatest(F.lit(0.0), F.col("evidence_floor") - F.coalesce("confidence", F.lit(0.60))) * F.col("evidence_scale")
     return (
         rows.withColumns({"m": m, "bias": bias, "spread": spread})

@@ -56,6 +56,12 @@ def empirical_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(T.anchored_pairs(readings(spark, sf_dir)), "delta")
 
 
+def calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per volume bucket, how much ratings move between independent readings of the whole log."""
+    pairs = T.anchored_pairs(readings(spark, sf_dir)).withColumn("bucket", volume_bucket(F.col("n")))
+    return T.calibration(pairs, spark.createDataFrame([(b,) for b in BUCKETS], "bucket string"))
+
+
 @query(
     "empirical_calibration",
     PAIRS_SQL + f", p AS (SELECT key, from_t, to_t, top AS n, delta FROM walk WHERE to_t IS NOT NULL), s AS (SELECT {SQL_BUCKET} AS bucket, count(*) AS pairs, count(DISTINCT key) AS keys, (max(to_t) - min(from_t)) / {DAY}::DOUBLE AS span,"
@@ -64,9 +70,7 @@ def empirical_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     " coalesce(pairs, 0) >= 30 AND coalesce(keys, 0) >= 10 AND coalesce(span, 0) >= 21 AS ready FROM (SELECT unnest(['0-24', '25-99', '100-499', '500-1999', '2000+']) AS bucket) b LEFT JOIN s USING (bucket)",
 )
 def empirical_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = T.anchored_pairs(readings(spark, sf_dir)).withColumn("bucket", volume_bucket(F.col("n")))
-    buckets = spark.createDataFrame([(b,) for b in BUCKETS], "bucket string")
-    return _r(T.calibration(pairs, buckets), "span_days", "least_gap_hours", "rmse", "sigma", "penalty")
+    return _r(calibrated(spark, sf_dir), "span_days", "least_gap_hours", "rmse", "sigma", "penalty")
 
 
 def _since(days: int) -> str:

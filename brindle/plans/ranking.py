@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from brindle.bindings import recipes as current_recipes
 from brindle.operators import score as S
+from brindle.plans.history import calibrated
 from brindle.plans.sql import ACTIVE, BASE, GRID36, scored
 from brindle.registry import query
 from brindle.session import checkpointed
@@ -17,6 +18,11 @@ def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checkpointed(current_recipes(spark, sf_dir))
 
 
+def scores(spark: SparkSession, sf_dir: str, grid: list[S.Params] | None = None) -> DataFrame:
+    """The current state scored with the log's own calibration (five rows, written once)."""
+    return S.score_items(recipes(spark, sf_dir), grid, checkpointed(calibrated(spark, sf_dir)))
+
+
 def _r(df: DataFrame, *columns: str) -> DataFrame:
     """Doubles to six decimals, as both engines compare them."""
     return df.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in columns})
@@ -24,7 +30,7 @@ def _r(df: DataFrame, *columns: str) -> DataFrame:
 
 @query("flagship_rank", "WITH " + scored(ACTIVE) + " SELECT rank, id, source, n, round(score, 6) AS score, round(posterior, 6) AS posterior, round(uncertainty, 6) AS uncertainty FROM rk WHERE rank <= 50")
 def flagship_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = S.rank_top(S.score_items(recipes(spark, sf_dir)), 50)
+    top = S.rank_top(scores(spark, sf_dir), 50)
     return _r(top.select("rank", "id", "source", "n", "score", "posterior", "uncertainty"), "score", "posterior", "uncertainty")
 
 
@@ -35,7 +41,7 @@ def flagship_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def score_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = ["prior", "expected", "m", "bias", "adjusted", "posterior", "uncertainty", "evidence", "score"]
-    return _r(S.ranked(S.score_items(recipes(spark, sf_dir))), *parts).select("id", "rank", *parts, "from_histogram")
+    return _r(S.ranked(scores(spark, sf_dir)), *parts).select("id", "rank", *parts, "from_histogram")
 
 
 GOLDEN = [("a", 4.90, 5000, 1.00), ("b", 5.00, 100, 1.00), ("c", 4.80, 1000, 0.65), ("d", 4.70, 10000, 1.00), ("e", 4.95, 20, 1.00)]
@@ -70,7 +76,7 @@ _SIM = "WITH " + scored(f"({ACTIVE}) UNION ALL SELECT scenario, mult, cap_b, sca
 
 
 def _simulated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    both = S.ranked(S.score_items(recipes(spark, sf_dir), [S.Params(), *S.robustness_grid()])).select("scenario", "id", "rank")
+    both = S.ranked(scores(spark, sf_dir, [S.Params(), *S.robustness_grid()])).select("scenario", "id", "rank")
     return both.filter("scenario = 0").select("id", "rank"), both.filter("scenario > 0")
 
 

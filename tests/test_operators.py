@@ -33,6 +33,34 @@ def test_scores_and_nulls(spark):
     assert [r["id"] for r in top] == [i for i, _ in sorted(((i, r["rank"]) for i, r in got.items()), key=lambda x: x[1])[:2]]
 
 
+def test_uncertainty_is_histogram_then_ready_history_then_theory(spark):
+    stars = {"5": 60, "4": 40}
+    rows = [("ready", "s", 4.5, 100, 1.0, ["X"], None), ("floor", "s", 4.5, 10, 1.0, ["X"], None), ("unready", "s", 4.5, 600, 1.0, ["X"], None), ("absent", "s", 4.5, 3000, 1.0, ["X"], None), ("stars", "s", 4.5, 100, 1.0, ["X"], stars)]
+    buckets = spark.createDataFrame([("0-24", 0.0, True), ("25-99", None, None), ("100-499", 0.2, True), ("500-1999", 0.01, False)], "bucket string, penalty double, ready boolean")
+    df = spark.createDataFrame(rows, ITEMS)
+    plain = {(r["scenario"], r["id"]): r["uncertainty"] for r in S.score_items(df, [S.Params(), S.Params(1, uncertainty_cap=0.15)]).collect()}
+    got = {(r["scenario"], r["id"]): r for r in S.score_items(df, [S.Params(), S.Params(1, uncertainty_cap=0.15)], buckets).collect()}
+    assert len(got) == 10
+    assert got[0, "ready"]["uncertainty"] == pytest.approx(0.2) and got[1, "ready"]["uncertainty"] == pytest.approx(0.15)
+    assert got[0, "floor"]["uncertainty"] == pytest.approx(0.25 * plain[0, "floor"]) and got[1, "floor"]["uncertainty"] == pytest.approx(0.25 * 0.15)
+    for i in ("unready", "absent", "stars"):
+        assert got[0, i]["uncertainty"] == plain[0, i]
+    assert got[0, "ready"]["score"] == pytest.approx(got[0, "ready"]["posterior"] - 0.2)
+
+
+def test_ranking_queries_take_the_ready_history(spark, sf_dir):
+    from brindle.bindings import recipes
+    from brindle.plans.history import calibrated
+    from brindle.plans.ranking import score_parts
+
+    ready = {r["bucket"]: r["penalty"] for r in calibrated(spark, sf_dir).filter("ready").collect()}
+    parts = score_parts(spark, sf_dir).join(recipes(spark, sf_dir).select("id", "n", S.volume_bucket(F.col("n")).alias("bucket")), "id").filter("not from_histogram").collect()
+    assert any(r["bucket"] in ready for r in parts)
+    for r in parts:
+        theory = min(0.25, 1.96 * 2.5 / max(1.0, r["n"] + r["m"]) ** 0.5)
+        assert r["uncertainty"] == pytest.approx(min(0.25, max(ready[r["bucket"]], 0.25 * theory)) if r["bucket"] in ready else theory, abs=2e-6)
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rating=st.floats(3, 5), prior=st.floats(3, 5), n=st.integers(1, 1000), more=st.integers(1, 10000), m=st.floats(1, 5000))
 def test_posterior_moves_from_the_prior_to_the_rating(spark, rating, prior, n, more, m):
