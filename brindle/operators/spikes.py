@@ -42,7 +42,7 @@ class SpikeRules:
     fit_rows: int = 4096
     #: Readings with a lower anomaly score are not looked at again (half of all readings score about 0.3).
     least_score: float = 0.33
-    #: A key with more readings is split by time, with as many readings of the neighbouring parts as halo.
+    #: A key with more readings is cut by position in time, with as many readings before and after a part as halo.
     hot_rows: int = 20_000
     #: Up to so many sources their statistics are broadcast (some 60 bytes each); more are joined.
     broadcast_sources: int = 20_000
@@ -56,6 +56,8 @@ _OUT = pa.schema(
     [("key", pa.string()), ("t", pa.int64()), ("source", pa.string()), ("impossible", pa.bool_()), ("gap_count", pa.float64()), ("noise_count", pa.float64()), ("noise_rating", pa.float64()), ("run_length", pa.int64()), ("run_at", pa.int64())]
     + [(f, pa.float64()) for f in FEATURES]
 )
+#: Where a reading's run meets an end of its part of a hot series (1 first, 2 last, 3 both), to be joined across cuts.
+_SERIES = _OUT.append(pa.field("part", pa.int64())).append(pa.field("edge", pa.int64())).append(pa.field("run_value", pa.float64()))
 _OUT_DDL = "key string, t bigint, source string, impossible boolean, gap_count double, noise_count double, noise_rating double, run_length bigint, run_at bigint, " + ", ".join(f"{f} double" for f in FEATURES)
 
 
@@ -120,15 +122,20 @@ def _series_features(block: pd.DataFrame, rules: SpikeRules) -> pd.DataFrame:
         level_c, noise_c = _medians(log, start, end, rules.side, rules.longest)
         level_r, noise_r = _medians(rating, start, end, rules.side, rules.longest)
         gap, _ = _medians(count, start, end, rules.side, rules.longest)
-    # runs of equal counts, nulls left out
-    there = np.flatnonzero(~np.isnan(count))
-    run_length, run_at = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    # runs of equal counts, nulls left out; of a part's own readings only, as runs are joined across cuts later
+    there = np.flatnonzero(~np.isnan(count) & ~block["halo"].to_numpy(bool))
+    run_length, run_at, edge = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
     if len(there):
         g, c = group[there], count[there]
         new = np.r_[True, (g[1:] != g[:-1]) | (c[1:] != c[:-1])]
         run = np.cumsum(new) - 1
         run_length[there] = np.bincount(run)[run]
         run_at[there] = np.arange(len(there)) - np.flatnonzero(new)[run] + 1
+        turn = g[1:] != g[:-1]
+        ends = np.zeros(run[-1] + 1, np.int64)
+        ends[run[np.r_[True, turn]]] += 1
+        ends[run[np.r_[turn, True]]] += 2
+        edge[there] = np.where(block["hot"].to_numpy(bool)[there], ends[run], 0)
     zero = lambda x: np.nan_to_num(np.abs(x), nan=0.0)
     out = pd.DataFrame(
         {
@@ -136,6 +143,7 @@ def _series_features(block: pd.DataFrame, rules: SpikeRules) -> pd.DataFrame:
             "gap_count": zero(gap), "noise_count": np.abs(noise_c), "noise_rating": np.abs(noise_r), "run_length": run_length,
             "level_count": zero(level_c), "level_rating": zero(level_r), "step_count": zero(log - past(log, 1)), "step_rating": zero(rating - past(rating, 1)),
             "run_at": run_at, "season_count": zero(log - past(log, 7)), "run_size": run_length.astype(float),
+            "part": part, "edge": edge, "run_value": count,
         }
     )
     return out[~block["halo"].to_numpy(bool)]
@@ -146,7 +154,7 @@ def _feature_batches(rules: SpikeRules):
         rest: pd.DataFrame | None = None
 
         def made(block: pd.DataFrame) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pandas(_series_features(block, rules), schema=_OUT, preserve_index=False)
+            return pa.RecordBatch.from_pandas(_series_features(block, rules), schema=_SERIES, preserve_index=False)
 
         for batch in batches:
             block = batch.to_pandas()
@@ -165,18 +173,50 @@ def _feature_batches(rules: SpikeRules):
 
 
 def split_hot(df: DataFrame, key: str, time: str, limit: int, halo: int) -> DataFrame:
-    """Add part and halo: series of more than limit rows are cut into stretches of time of about limit rows, each
-    with copies (halo = true) of up to halo rows of the stretches beside it. Other series are one part."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(time).alias("_a"), F.max(time).alias("_z")).filter(F.col("_n") > limit)
+    """Add part, halo and hot: series of more than limit rows are hot and cut by position into parts of at most limit
+    rows, however uneven their times are, each with copies (halo = true) of the halo rows right before and after it.
+    Other series are one part. Times are distinct within a key.
+
+    Positions are exact and no task holds a series: hot rows are range partitioned by key and time, numbered within a
+    partition, and count on from the sizes of the partitions before. Hot keys are at most one in limit rows.
+    """
+    sizes = checkpointed(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit))
+    flags = {"part": F.lit(0).cast("bigint"), "halo": F.lit(False), "hot": F.lit(False)}
+    if sizes.isEmpty():
+        return df.withColumns(flags)
+    cold = df.join(F.broadcast(sizes), key, "left_anti").withColumns(flags)
+    ordered = checkpointed(df.join(F.broadcast(sizes), key).repartitionByRange(key, time).withColumn("_p", F.spark_partition_id()))
+    counts = ordered.groupBy(key, "_p").agg(F.count(F.lit(1)).alias("_c"))
+    before = counts.select(key, "_p", (F.sum("_c").over(Window.partitionBy(key).orderBy("_p")) - F.col("_c")).alias("_before"))
+    nth = ordered.withColumn("_i", F.row_number().over(Window.partitionBy(key, "_p").orderBy(time)) - 1)
+    at = F.col("_before") + F.col("_i")
     parts = F.ceil(F.col("_n") / F.lit(limit))
-    at = F.floor((F.col(time) - F.col("_a")) / (F.col("_z") - F.col("_a") + 1) * parts).cast("bigint")
-    marked = df.join(sizes, key, "left").withColumn("part", F.coalesce(at, F.lit(0).cast("bigint"))).withColumn("_hot", F.col("_n").isNotNull()).drop("_n", "_a", "_z")
-    whole = Window.partitionBy(key, "part")
-    hot = marked.filter("_hot").withColumn("_up", F.row_number().over(whole.orderBy(time))).withColumn("_down", F.row_number().over(whole.orderBy(F.desc(time))))
-    to_next = hot.filter(F.col("_down") <= halo).withColumn("part", F.col("part") + 1)
-    to_last = hot.filter(F.col("_up") <= halo).withColumn("part", F.col("part") - 1)
-    copies = to_next.unionByName(to_last).drop("_up", "_down", "_hot").withColumn("halo", F.lit(True))
-    return marked.drop("_hot").withColumn("halo", F.lit(False)).unionByName(copies)
+    placed = nth.join(F.broadcast(before), [key, "_p"]).withColumn("_at", at.cast("bigint")).withColumn("_size", F.ceil(F.col("_n") / parts).cast("bigint"))
+    own = F.floor(F.col("_at") / F.col("_size"))
+    first = F.greatest(F.lit(0), F.floor((F.col("_at") - halo) / F.col("_size")))
+    last = F.least(F.floor((F.col("_n") - 1) / F.col("_size")), F.floor((F.col("_at") + halo) / F.col("_size")))
+    hot = placed.withColumn("_own", own).withColumn("part", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint")))).withColumn("halo", F.col("part") != F.col("_own")).withColumn("hot", F.lit(True))
+    return cold.unionByName(hot.select(*df.columns, "part", "halo", "hot"))
+
+
+def _joined_runs(series: DataFrame) -> DataFrame:
+    """Features with the runs of hot series joined across cuts; run lengths and places are then those of whole series.
+
+    Only the first and the last run of each part (two rows in hot_rows readings) are looked at.
+    """
+    ends = series.filter("edge > 0").groupBy("key", "part", "edge").agg(F.first("run_value").alias("value"), F.max("run_length").alias("length"))
+    along = Window.partitionBy("key").orderBy("part", "edge")
+    new = F.coalesce((F.lag("part").over(along) == F.col("part")) | (F.lag("value").over(along) != F.col("value")), F.lit(True))
+    runs = ends.withColumn("new", new).withColumn("run", F.sum(F.col("new").cast("int")).over(along))
+    one = Window.partitionBy("key", "run")
+    whole = runs.select("key", "part", "edge", F.sum("length").over(one).alias("_length"), (F.sum("length").over(one.orderBy("part", "edge")) - F.col("length")).alias("_before"), "length")
+    longer = checkpointed(whole.filter("_length > length").drop("length"))
+    extra = ["part", "edge", "run_value"]
+    if longer.isEmpty():
+        return series.drop(*extra)
+    length = F.coalesce("_length", "run_length")
+    joined = series.join(F.broadcast(longer), ["key", "part", "edge"], "left").withColumns({"run_length": length, "run_size": length.cast("double"), "run_at": F.col("run_at") + F.coalesce("_before", F.lit(0))})
+    return joined.drop("_length", "_before", *extra)
 
 
 # ---- isolation forest -------------------------------------------------------------------------------------------
@@ -260,7 +300,7 @@ def reading_scores(df: DataFrame, key: str, source: str, timestamp: str, rating:
         F.min("source").alias("source"), F.min("r").alias("rating_min"), F.max("r").alias("rating_max"), F.min("c").alias("count_min"), F.max("c").alias("count_max")
     )
     series = split_hot(readings, "key", "t", rules.hot_rows, rules.halo).repartition("key", "part").sortWithinPartitions("key", "part", "t")
-    features = checkpointed(series.mapInArrow(_feature_batches(rules), _OUT_DDL))  # read three times below
+    features = _joined_runs(checkpointed(series.mapInArrow(_feature_batches(rules), _OUT_DDL + ", part bigint, edge bigint, run_value double")))  # read three times below
     normal = checkpointed(features.groupBy("source").agg(
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx("noise_count", 0.5).alias("mad_count"),
@@ -292,7 +332,8 @@ def implausible_readings(df: DataFrame, row_id: str, key: str, source: str, time
     reading; explicit limits are always cases; readings the forest finds easier to isolate than rules.least_score
     are then held against the source's own scale. Trees are fitted on at most about fit_rows readings per source,
     every other statistic covers all rows. Series are shuffled by (key, part) and sources by (source, salt), so a
-    key or a source may hold a third of all rows.
+    key or a source may hold a third of all rows; parts are cut by position and see their true neighbours, and runs
+    are joined across cuts, so a cut changes no feature.
 
     Defined cases: rows of one key and instant are one reading, all of whose rows are returned; rows without a
     key or a readable timestamp are judged by the physical limits only; null and NaN values are no departures;

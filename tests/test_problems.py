@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from brindle.functions.url import normalize_domain
 from brindle.operators.history import validity_periods
 from brindle.operators.snapshots import same_to, snapshot_changes
-from brindle.operators.spikes import SpikeRules, fit_forest, implausible_readings, score_forest, split_hot
+from brindle.operators.spikes import FEATURES, SpikeRules, fit_forest, implausible_readings, reading_scores, score_forest, split_hot
 from brindle.operators.units import common_units, equal_amounts, parse_line
 
 SNAP = "board_id bigint, run_id bigint, recipe_id string, rank int, hierarchical_score double, timestamp string, delivered_at timestamp, extra string, board string"
@@ -182,6 +182,35 @@ def test_hot_series_are_split_with_halo(spark):
     assert max(sum(r["part"] == p and r["key"] == "h" for r in rows) for p in parts) <= 26
 
 
+def test_cuts_of_uneven_series_change_no_feature(spark):
+    rng = random.Random(5)
+    t0 = 1_700_000_000
+    # a stray early date, a stretch of nulls, long runs and a spike at and across cuts
+    counts = [100 + 3 * i for i in range(300)]
+    counts[45:130] = [counts[45]] * 85
+    counts[180] *= 9
+    counts[200:215] = [None] * 15
+    counts[220:260] = [counts[220]] * 40
+    at = [t0 - 10**9] + [t0 + 86_400 * i for i in range(1, 300)]
+    rows = [("h", "s", at[i], 4.0 + rng.random() / 10, counts[i]) for i in range(300)] + [("c", "s", t0 + 86_400 * i, 4.5, 50 + i) for i in range(15)]
+    df = spark.createDataFrame(rows, "key string, source string, at bigint, r double, c bigint").withColumn("ts", F.date_format(F.timestamp_seconds("at"), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    columns = ["key", "t", "run_length", "run_at", "gap_count", "noise_count", "noise_rating", *FEATURES]
+
+    def features(rules):
+        return sorted(tuple(r) for r in reading_scores(df, "key", "source", "ts", "r", "c", rules).select(*[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(-1.0)), F.lit(-1.0)).alias(c) if c != "key" else F.col(c) for c in columns]).collect())
+
+    assert features(SpikeRules(hot_rows=20, halo=10)) == features(SpikeRules())
+
+
+def test_parts_of_uneven_series_are_bounded(spark):
+    df = spark.createDataFrame([("h", 0), *[("h", 10**9 + i) for i in range(99)]], "key string, t bigint")
+    rows = split_hot(df, "key", "t", 20, 3).collect()
+    parts = {p: sorted(r["t"] for r in rows if r["part"] == p) for p in range(5)}
+    times = sorted(r["t"] for r in rows if not r["halo"])
+    assert len(times) == 100 and {r["part"] for r in rows} == set(range(5))
+    assert all(ts == times[max(0, 20 * p - 3) : 20 * p + 23] for p, ts in parts.items())
+
+
 def test_forest_isolates_outliers():
     rng = np.random.default_rng(0)
     x = np.abs(np.r_[rng.normal(0, 0.05, (500, 6)), [[5, 0, 0, 0, 0, 0]]])
