@@ -92,6 +92,31 @@ def duplicate_groups(records: DataFrame, threshold: float = THRESHOLD) -> DataFr
     return placed.join(groups, "component").join(best, "component").select("group_id", F.col("node").alias("id"), "representative", "confidence", "members")
 
 
+def label_queue(records: DataFrame, labelled: DataFrame, low: float = 0.72, high: float = 0.92, limit: int = 250) -> DataFrame:
+    """(left_id, right_id, similarity, distance, left_title, right_title, left_url, right_url): pairs of recipes that
+    share a block, have a similarity from low to high and no label yet; the limit nearest to the threshold, of equal
+    distances (to 9 digits) the more similar, then the smaller ids.
+
+    records: as for prepared, with recipe_id; labelled: two columns of recipe ids, in either order. All candidates are
+    scored before the best are taken. A recipe with several records is no candidate of itself, and of several records
+    of two recipes the most similar pair counts. Rows of labelled with nulls label nothing; records without a recipe
+    are left out; empty tables give no rows.
+    """
+    whole = checkpointed(records.filter("recipe_id is not null"))
+    p = checkpointed(prepared(whole))
+    scored = similarity(blocked_pairs(block_keys(p)), p).filter(F.col("score").between(low, high))
+    side = {x: whole.select(F.col("id").alias(i), F.col("recipe_id").alias(f"{x}_r"), F.col("title").alias(f"{x}_t"), F.col("url").alias(f"{x}_u")) for x, i in (("l", "a"), ("r", "b"))}
+    both = scored.join(side["l"], "a").join(side["r"], "b").filter("l_r <> r_r")
+    less = F.col("l_r") < F.col("r_r")
+    ends = {f"{name}_{c}": F.when(less if name == "left" else ~less, F.col(f"l_{k}")).otherwise(F.col(f"r_{k}")) for name in ("left", "right") for c, k in (("id", "r"), ("title", "t"), ("url", "u"))}
+    pairs = both.select(F.struct("score", "a", "b").alias("_by"), *[c.alias(name) for name, c in ends.items()])
+    best = pairs.groupBy("left_id", "right_id").agg(F.max_by(F.struct(F.col("_by.score").alias("similarity"), "left_title", "right_title", "left_url", "right_url"), "_by").alias("r")).select("left_id", "right_id", "r.*")
+    x, y = (F.col(c) for c in labelled.columns)
+    done = labelled.select(F.least(x, y).alias("left_id"), F.greatest(x, y).alias("right_id")).filter(x.isNotNull() & y.isNotNull())
+    queue = best.join(done, ["left_id", "right_id"], "left_anti").withColumn("distance", F.abs(F.col("similarity") - THRESHOLD))
+    return queue.orderBy(F.round("distance", 9), F.desc("similarity"), "left_id", "right_id").limit(limit).select("left_id", "right_id", "similarity", "distance", "left_title", "right_title", "left_url", "right_url")
+
+
 def confusion(rows: DataFrame, thresholds: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Counts, precision, recall and F1 of (expected, similarity) at each threshold, per group of by.
 

@@ -45,7 +45,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides = [d.select((F.col("pair_id") * 2 + i).alias("id"), F.col(f"{side}_recipe_id").alias("recipe_id"), f"{side}_recipe.*") for i, side in enumerate(("left", "right"))]
     o = table(spark, sf_dir, "observations").select("recipe_id", parse_micros(F.col("timestamp")).alias("t"), "obs_id", normalize_url(F.coalesce(F.nullif(F.trim("canonical_url"), F.lit("")), "url")).alias("url"), "author", F.col("rating_count").alias("n"), F.col("instruction_simhash").alias("simhash"), F.col("image_perceptual_hash").alias("image"))
     last = o.groupBy("recipe_id").agg(F.max_by(F.struct("url", "author", "n", "simhash", "image"), F.struct("t", "obs_id")).alias("o"))
-    return sides[0].unionByName(sides[1]).join(last, "recipe_id", "left").select("id", "title", "ingredients", "instructions", "o.url", "o.author", "o.n", "o.simhash", "o.image")
+    return sides[0].unionByName(sides[1]).join(last, "recipe_id", "left").select("id", "recipe_id", "title", "ingredients", "instructions", "o.url", "o.author", "o.n", "o.simhash", "o.image")
 
 
 @query("jaccard_pairs", f"WITH {PAIR_SQL} SELECT pair_id, expected, kind, round(similarity, 6) AS similarity FROM lab")
@@ -74,8 +74,9 @@ def pr_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("label_queue", f"WITH {PAIR_SQL} SELECT pair_id, round(similarity, 6) AS similarity FROM lab ORDER BY abs(round(similarity, 6) - 0.80), round(similarity, 6) DESC, pair_id LIMIT 250")
 def label_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = F.round("similarity", 6)
-    return labelled(spark, sf_dir).select("pair_id", s.alias("similarity")).orderBy(F.abs(F.col("similarity") - 0.80), F.desc("similarity"), "pair_id").limit(250)
+    """Candidate pairs over all records that have no label yet, the most doubtful first."""
+    d = table(spark, sf_dir, "dedupe_pairs").filter("duplicate is not null").select("left_recipe_id", "right_recipe_id")
+    return D.label_queue(records(spark, sf_dir), d).withColumns({c: F.round(c, 6) for c in ("similarity", "distance")})
 
 
 @query("block_keys")

@@ -159,6 +159,25 @@ def test_duplicate_groups(spark):
     assert D.duplicate_groups(df.limit(0)).count() == 0
 
 
+def test_label_queue_finds_unlabelled_pairs_by_blocks(spark):
+    stock, other = ["2 cups flour", "1 cup sugar", "3 eggs", "butter"], ["2 cups flour", "1 cup sugar", "3 eggs", "vanilla"]
+    rows = [
+        (0, "a", "Lemon Cake", stock), (1, "b", "Lemon Cake Best", other),  # labelled
+        (2, "c", "Lemon Cake", other), (3, "d", "Roast Beef", ["beef", "salt"]),
+        (4, "a", "Lemon Cake", stock),  # the same recipe again
+    ]
+    df = spark.createDataFrame([(i, r, t, g, None, None, None, 1, None, None) for i, r, t, g in rows], "id bigint, recipe_id string, title string, ingredients array<string>, instructions array<string>, url string, author string, n bigint, simhash string, image string")
+    done = spark.createDataFrame([("b", "a"), (None, "c")], "x string, y string")
+    got = D.label_queue(df, done).collect()
+    p = D.prepared(df)
+    score = {(r["a"], r["b"]): r["score"] for r in D.similarity(D.blocked_pairs(D.block_keys(p)), p).collect()}
+    want = {("a", "c"): score[0, 2], ("b", "c"): score[1, 2]}
+    assert {(r["left_id"], r["right_id"]): r["similarity"] for r in got} == {k: v for k, v in want.items() if 0.72 <= v <= 0.92} != {}
+    assert [r["distance"] for r in got] == sorted(r["distance"] for r in got)
+    assert len(D.label_queue(df, done.limit(0)).collect()) > len(got) and len(D.label_queue(df, done, limit=1).collect()) == 1
+    assert D.label_queue(df.limit(0), done).count() == 0
+
+
 def test_diverse_order(spark):
     rows = [("p", f"i{k}", "x" if k < 3 else "y", 5 - k / 100) for k in range(5)] + [("q", "a", None, 1.0)]
     got = V.diverse_order(spark.createDataFrame(rows, "profile string, id string, category string, score double")).orderBy("profile", "place").collect()
