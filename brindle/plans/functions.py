@@ -31,8 +31,14 @@ def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "observations").select("title").distinct()
 
 
+def pair_sides(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
+    """Both recipes of every pair, one row each, with their side; the table is read once."""
+    sides = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), *[F.col(f"{side}_recipe.{f}").alias(f) for f in fields]) for side in ("left", "right")]))
+    return table(spark, sf_dir, "dedupe_pairs").select("pair_id", sides.alias("r")).select("pair_id", "r.*")
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "dedupe_pairs").select("pair_id", F.explode("left_recipe.ingredients").alias("line"))
+    return pair_sides(spark, sf_dir, "ingredients").select("pair_id", "side", F.explode("ingredients").alias("line"))
 
 
 @query("norm_text", f"SELECT DISTINCT title, {NORM.format('title')} AS norm FROM observations")
@@ -68,15 +74,15 @@ def first_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     " SELECT pair_id, CASE WHEN len(i) = 0 THEN '' ELSE left(sha256(array_to_string(list_sort(list_distinct(i)), chr(10))), 24) END AS ingredient_signature, CASE WHEN len(s) = 0 THEN '' ELSE left(sha256(array_to_string(s, chr(10))), 24) END AS instruction_signature FROM n",
 )
 def recipe_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "dedupe_pairs")
-    return d.select("pair_id", X.signature(F.col("left_recipe.ingredients"), False).alias("ingredient_signature"), X.signature(F.col("left_recipe.instructions"), True).alias("instruction_signature"))
+    d = pair_sides(spark, sf_dir, "ingredients", "instructions")
+    return d.select("pair_id", "side", X.signature(F.col("ingredients"), False).alias("ingredient_signature"), X.signature(F.col("instructions"), True).alias("instruction_signature"))
 
 
 @query("simhash_steps")
 def simhash_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "dedupe_pairs")
-    tokens = F.filter(X.words(F.array_join("left_recipe.instructions", " ")), lambda w: F.length(w) > 2)
-    return d.select("pair_id", X.simhash(tokens).alias("simhash"))
+    d = pair_sides(spark, sf_dir, "instructions")
+    tokens = F.filter(X.words(F.array_join("instructions", " ")), lambda w: F.length(w) > 2)
+    return d.select("pair_id", "side", X.simhash(tokens).alias("simhash"))
 
 
 _CASES = ", ".join("CASE WHEN " + " OR ".join(f"contains(n, '{w}')" for w in ws) + f" THEN '{name}' END" for name, ws in sorted(X.CATEGORIES.items()))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brindle.bindings import readings, snapshots
 from brindle.operators import backtest as B
 from brindle.operators import serving as V
+from brindle.plans.functions import pair_sides
 from brindle.plans.history import CUTS, DAY, _cutoffs
 from brindle.plans.sql import READINGS, SNAPSHOTS
 from brindle.registry import query
@@ -59,8 +60,8 @@ def diversity_rerank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("shopping_totals")
 def shopping_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "dedupe_pairs")
-    lines = d.select(F.col("pair_id").alias("id"), F.lit("l").alias("side"), F.posexplode("left_recipe.ingredients").alias("p", "text")).select("id", "side", (F.col("p") + 1).cast("bigint").alias("line"), "text")
+    d = pair_sides(spark, sf_dir, "ingredients")
+    lines = d.select(F.col("pair_id").alias("id"), F.substring("side", 1, 1).alias("side"), F.posexplode("ingredients").alias("p", "text")).select("id", "side", (F.col("p") + 1).cast("bigint").alias("line"), "text")
     return V.shopping_totals(lines).withColumn("amount", F.round("amount", 3))
 
 

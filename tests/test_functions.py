@@ -94,3 +94,21 @@ def test_wilson_and_rescale(spark):
     assert got[0] == (None, None) and abs(got[1][0] - 0.2366) < 1e-3 and abs(got[1][1] - 0.7634) < 1e-3 and abs(got[2][1] - 1.0) < 1e-9
     rows = spark.createDataFrame([(9.0, 10.0, 5), (5.2, 5.0, 5), (6.0, 5.0, 5), (4.0, 0.0, 5), (4.0, 5.0, 0), (None, 5.0, 1)], "r double, b double, n bigint")
     assert [r[0] for r in rows.select(X.rescale_rating(F.col("r"), F.col("b"), F.col("n"))).collect()] == [4.5, 5.0, None, None, None, None]
+
+
+def test_queries_read_both_recipes_of_a_pair(spark, tmp_path):
+    from brindle.plans import functions as P
+    from brindle.plans.serving import shopping_totals
+
+    recipe = "struct<ingredients: array<string>, instructions: array<string>>"
+    rows = [(1, (["2 cups flour"], ["Mix the flour"]), (["3 eggs", "1 cup milk"], ["Beat all eggs"])), (2, (None, None), (["1 cup rice"], []))]
+    spark.createDataFrame(rows, f"pair_id bigint, left_recipe {recipe}, right_recipe {recipe}").write.parquet(str(tmp_path / "dedupe_pairs.parquet"))
+    lines = {(1, "left", "2 cups flour"), (1, "right", "3 eggs"), (1, "right", "1 cup milk"), (2, "right", "1 cup rice")}
+    for fn in (P.norm_ingredient, P.first_number):
+        assert {(r["pair_id"], r["side"], r["line"]) for r in fn(spark, str(tmp_path)).collect()} == lines
+    signed = {(r["pair_id"], r["side"]): r for r in P.recipe_signatures(spark, str(tmp_path)).collect()}
+    hashed = {(r["pair_id"], r["side"]): r["simhash"] for r in P.simhash_steps(spark, str(tmp_path)).collect()}
+    assert len(signed) == len(hashed) == 4
+    assert signed[1, "left"]["ingredient_signature"] != signed[1, "right"]["ingredient_signature"] and hashed[1, "left"] != hashed[1, "right"]
+    assert signed[2, "left"]["ingredient_signature"] == "" == signed[2, "right"]["instruction_signature"] != signed[2, "right"]["ingredient_signature"]
+    assert "milk" in str(shopping_totals(spark, str(tmp_path)).collect())
