@@ -10,18 +10,27 @@ import numpy as np
 import xxhash
 
 _HIDDEN = re.compile("[\\u00ad\\u200b-\\u200f\\u202a-\\u202e\\u2060-\\u2064\\ufe0f\\ufeff]")
-_NOTES = re.compile(r"<ref[^<>]*/>|<ref\b.*?</ref>|<!--.*?-->", re.S | re.I)
-_TAGS = re.compile(r"<[^<>]*>")
+#: A note ends before the next one begins, so that an unclosed one takes nothing with it.
+_NOTES = re.compile(r"<ref\b[^<>]*/>|<ref\b[^<>]*>((?:(?!<ref\b).)*?)</ref\s*>|<!--(.*?)-->", re.S | re.I)
+_NAMES = (
+    "a abbr article aside b big blockquote body br caption center cite code col colgroup dd del dfn div dl dt em figcaption figure font footer gallery h1 h2 h3 h4 h5 h6 head header hr html i img includeonly ins kbd li link main"
+    " map math meta nav noinclude nowiki ol onlyinclude p poem pre q ref references s samp script section small source span strike strong style sub sup syntaxhighlight table tbody td templatestyles tfoot th thead time timeline title"
+    " tr tt u ul var wbr"
+)
+_TAGS = re.compile(rf"</?(?:{'|'.join(_NAMES.split())})(?:[\s/][^<>]*)?>", re.I)
 _LINKS = re.compile(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]")
 _QUOTES = re.compile("'{2,}")
 _WORDS = re.compile(r"[^\W_]+")
 
 MEMO_WORDS = 500_000
+#: Shorter notes hold no shingle of the usual five words.
+NOTE_WORDS = 5
 
 
 def plain_words(text: str | None) -> list[str]:
-    """Words of a text apart from its surface form: entities, invisible characters, notes, tags, link targets and
-    quote markup are taken away, letters folded to one case and compatibility form. Null and empty texts have none."""
+    """Words of a text apart from its surface form: entities, invisible characters, tags of known names,
+    link targets and quote markup are taken away, letters folded to one case and compatibility form; the words of notes
+    and comments of at least NOTE_WORDS words follow behind those of the text, which they would break. Null and empty texts have none."""
     if not text:
         return []
     if "&" in text:
@@ -29,7 +38,8 @@ def plain_words(text: str | None) -> list[str]:
     if not text.isascii():
         text = unicodedata.normalize("NFKC", _HIDDEN.sub("", text))
     if "<" in text:
-        text = _TAGS.sub(" ", _NOTES.sub(" ", text))
+        notes = [note for a, b in _NOTES.findall(text) if len(_WORDS.findall(note := a or b)) >= NOTE_WORDS]
+        text = _TAGS.sub(" ", "\n".join([_NOTES.sub(" ", text), *notes]))
     if "[[" in text:
         text = _LINKS.sub(r"\1", text)
     if "''" in text:

@@ -55,3 +55,16 @@ def test_surface_form_does_not_count():
     assert plain_words("The [[Foo|quick]] ''brown''<ref>x y</ref> f­o​x&nbsp;jumps&#44; <b>OVER</b>") == ["the", "quick", "brown", "fox", "jumps", "over"]
     assert plain_words(None) == [] == plain_words("")
     assert len(shingles(hash_words(["a"] * 4), 5)) == 0 and len(shingles(hash_words(["a"] * 9), 5)) == 5
+
+
+def test_notes_comments_and_broken_markup_keep_their_words(spark):
+    rng = random.Random(4)
+    item, rest = sentence(rng, 40), " ".join(sentence(rng, 30))
+    text = " ".join(item)
+    docs = [
+        f"{rest}<ref name='n'>{text}</ref> {rest}", f"{rest} <!-- {text} --> {rest}", f"{rest} <ref>open {text} {rest} <ref>Note</ref> end", f"{rest} a < b {text} c > d {rest}", f"{rest} <!-- open {text}",
+        " ".join(item[:20]) + f"<ref>{rest}</ref> " + " ".join(item[20:]), f"{rest} <ref>{rest}</ref>",
+    ]
+    found = leaked_items(spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string"), "doc_id", "text", spark.createDataFrame([(1, text)], "item_id bigint, text string"), "item_id", "text")
+    assert sorted(r["doc_id"] for r in found.collect()) == [0, 1, 2, 3, 4, 5]
+    assert plain_words("one<ref>a b c d e</ref> two <br/> <b class='x'>three</b>") == ["one", "two", "three", "a", "b", "c", "d", "e"]
