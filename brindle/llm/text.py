@@ -27,10 +27,10 @@ MEMO_WORDS = 500_000
 NOTE_WORDS = 5
 
 
-def plain_words(text: str | None) -> list[str]:
+def plain_words(text: str | None, note_words: int = NOTE_WORDS) -> list[str]:
     """Words of a text apart from its surface form: entities, invisible characters, tags of known names,
     link targets and quote markup are taken away, letters folded to one case and compatibility form; the words of notes
-    and comments of at least NOTE_WORDS words follow behind those of the text, which they would break. Null and empty texts have none."""
+    and comments of at least note_words words follow behind those of the text, which they would break. Null and empty texts have none."""
     if not text:
         return []
     if "&" in text:
@@ -38,7 +38,7 @@ def plain_words(text: str | None) -> list[str]:
     if not text.isascii():
         text = unicodedata.normalize("NFKC", _HIDDEN.sub("", text))
     if "<" in text:
-        notes = [note for a, b in _NOTES.findall(text) if len(_WORDS.findall(note := a or b)) >= NOTE_WORDS]
+        notes = [note for a, b in _NOTES.findall(text) if len(_WORDS.findall(note := a or b)) >= note_words]
         text = _TAGS.sub(" ", "\n".join([_NOTES.sub(" ", text), *notes]))
     if "[[" in text:
         text = _LINKS.sub(r"\1", text)
