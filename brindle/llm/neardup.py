@@ -18,7 +18,11 @@ from brindle.session import checkpointed
 
 #: Bits of a chunk beyond which a signature is split in more chunks, and the most bits that a key keeps.
 CHUNK_BITS = 12
-KEY_BITS = 5
+KEY_BITS = 3
+#: Words (of 64 bits) of the sketch of a record's step words.
+SKETCH = 4
+#: Names in at least this share of records are ordered by their counts; rarer ones come first, by hash.
+COMMON_SHARE = 0.001
 
 
 def chunk_count(bits: int) -> int:
@@ -35,12 +39,14 @@ def least_common(a: int, b: int) -> int:
 
 
 def chunk_keys(signature: list[int]) -> set[int]:
-    """Keys of a signature such that any two signatures with Jaccard similarity 1/2 or more share one.
+    """Keys of a signature (its bits in one order for all records, rare ones first) such that any two signatures with
+    Jaccard similarity 1/2 or more share one.
 
     The similarity bounds the Hamming distance by a third of the bits of both. Split into chunks by the bits'
-    hashes, at least one chunk keeps that bound (pigeonhole). For every size that the partner's chunk may have, the
-    allowed errors are enumerated: all ways to leave so many bits of the chunk that the two must have in common (at
-    most KEY_BITS of them, which is enough to be selective and keeps the number of keys small).
+    hashes, at least one chunk keeps that bound (pigeonhole). For every size b that the partner's chunk may have, the
+    allowed errors are enumerated: of the a bits of a chunk the two have c or more in common, so the first KEY_BITS
+    (or c) common ones are among its first a - c + KEY_BITS, and all ways to choose them there are keys. The commonest
+    bits are thus in no key.
     """
     n = len(signature)
     keys: set[int] = set()
@@ -51,12 +57,25 @@ def chunk_keys(signature: list[int]) -> set[int]:
             chunks.setdefault((bit >> 40) % count, []).append(bit)
         for place, bits in chunks.items():
             a = len(bits)
-            for keep in sorted({min(KEY_BITS, least_common(a, b)) for b in range(1, 2 * a + 1) if least_common(a, b) <= min(a, b)}):
-                for kept in combinations(bits, keep):
+            reach: dict[int, int] = {}
+            for b in range(1, 2 * a + 1):
+                c = least_common(a, b)
+                if c <= min(a, b):
+                    keep = min(KEY_BITS, c)
+                    reach[keep] = max(reach.get(keep, 0), a - c + keep)
+            for keep, first in reach.items():
+                for kept in combinations(bits[:first], keep):
                     keys.add(xxhash.xxh3_64_intdigest(np.array([count, place, *kept], np.uint64).tobytes()) >> 1)
     return keys
 
 
+def sketch(words: np.ndarray) -> list[int]:
+    """Parity of the words that fall on each of SKETCH x 64 bits. Sketches of two sets differ in at most as many bits as
+    the sets in words, so their Hamming distance is a lower bound."""
+    odd = np.bincount((words >> 20) % (SKETCH * 64), minlength=SKETCH * 64) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["id", "names", "words"]
     for batch in batches:
@@ -66,14 +85,21 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(left, pa.list_(pa.int64())), pa.array(right, pa.list_(pa.int64()))], names=names)
 
 
-def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, signatures = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for at in range(0, len(ids), 200):
-            made = [chunk_keys(s) for s in signatures[at : at + 200]]
-            owner = np.repeat(np.array(ids[at : at + 200], np.int64), [len(k) for k in made])
-            keys = np.fromiter((k for m in made for k in m), np.int64, len(owner))
-            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(keys)], names=["id", "key"])
+def _key_batches(common: dict[int, int]):
+    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("w", pa.int64()), *[(f"s{i}", pa.int64()) for i in range(SKETCH)]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, signatures, words = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+            for at in range(0, len(ids), 200):
+                made = [chunk_keys(sorted(s, key=lambda bit: (common.get(bit, 0), bit))) for s in signatures[at : at + 200]]
+                sizes = [len(k) for k in made]
+                facts = [[len(signatures[k]), len(words[k].values), *sketch(words[k].values.to_numpy())] for k in range(at, at + len(made))]
+                keys = np.fromiter((k for m in made for k in m), np.int64, sum(sizes))
+                columns = [np.repeat(np.array(ids[at : at + 200], np.int64), sizes), keys, *(np.repeat(c, sizes) for c in np.array(facts, np.int64).T)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
+
+    return run
 
 
 def similar_records(df: DataFrame, row_id: str, ingredients: str, steps: str) -> tuple[DataFrame, DataFrame]:
@@ -84,17 +110,26 @@ def similar_records(df: DataFrame, row_id: str, ingredients: str, steps: str) ->
     names and two thirds of all distinct words of their steps.
 
     Method: a multi-index Hamming join. A record's signature has one bit per ingredient name; keys (chunk_keys)
-    guarantee that all pairs within the signature distance meet, and every pair that met is then compared exactly
-    on names and words. Copies are collapsed first, so a record that recurs a million times is signed once; keys,
-    not records, are shuffled, and a key that many different records have is an ordinary skewed join.
+    guarantee that all pairs within the signature distance meet. Key rows carry the sizes of both sets and a second
+    signature of SKETCH x 64 bits over the step words, so the join itself drops pairs whose sizes or whose signature
+    distance exceed what the thresholds allow (neither can lose a link); what is left is compared exactly on names and
+    words. Copies are collapsed first, so a record that recurs a million times is signed once; keys, not records, are
+    shuffled, and a key that many different records have is an ordinary skewed join.
     """
     rows = df.select(F.col(row_id).cast("bigint").alias("id"), F.col(ingredients).alias("i"), F.col(steps).alias("s")).filter("id is not null")
     signed = checkpointed(rows.mapInArrow(_sign, "id bigint, names array<bigint>, words array<bigint>"))
-    classes = signed.groupBy("names", "words").agg(F.min("id").alias("class"))
+    classes = checkpointed(signed.groupBy("names", "words").agg(F.min("id").alias("class")))
     members = signed.join(classes, ["names", "words"]).select("id", "class").distinct()
     kept = classes.filter((F.size("names") > 0) & (F.size("words") > 0))
-    keys = kept.select("class", "names").mapInArrow(_key_batches, "id bigint, key bigint")
-    pairs = keys.alias("x").join(keys.alias("y"), "key").filter("x.id < y.id").select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    counts = kept.select(F.explode("names").alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    least = max(2.0, COMMON_SHARE * kept.count())  # bounds what is collected to a mean record's names / COMMON_SHARE
+    common = {r["name"]: r["n"] for r in counts.filter(F.col("n") >= least).collect()}
+    sketches = [f"s{i}" for i in range(SKETCH)]
+    keys = kept.select("class", "names", "words").mapInArrow(_key_batches(common), "id bigint, key bigint, n bigint, w bigint, " + ", ".join(f"{s} bigint" for s in sketches))
+    distance = sum((F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in sketches), F.lit(0))
+    sizes = (2 * F.least("x.n", "y.n") >= F.greatest("x.n", "y.n")) & (3 * F.least("x.w", "y.w") >= 2 * F.greatest("x.w", "y.w"))
+    near = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & sizes & (5 * distance <= F.col("x.w") + F.col("y.w"))
+    pairs = keys.alias("x").join(keys.alias("y"), near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     one = kept.select(F.col("class").alias("a"), F.col("names").alias("an"), F.col("words").alias("aw"))
     two = kept.select(F.col("class").alias("b"), F.col("names").alias("bn"), F.col("words").alias("bw"))
     both = pairs.join(one, "a").join(two, "b")

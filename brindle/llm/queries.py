@@ -9,7 +9,7 @@ from brindle.llm.bpe import encode_corpus
 from brindle.llm.leak import leaked_items
 from brindle.llm.neardup import record_groups, recurring_pairs
 from brindle.llm.spam import spam_pages
-from brindle.llm.survivor import golden_records, surviving_records
+from brindle.llm.survivor import surviving_records
 from brindle.registry import Registry
 from brindle.session import table
 
@@ -52,7 +52,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @LLM.query("p6_golden")
 def p6_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return golden_records(table(spark, sf_dir, "observations"))
+    return surviving_records(table(spark, sf_dir, "observations"))
 
 
 @LLM.query("p7_ids")
