@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.time import parse_micros
+from brindle.session import checkpointed
 
 #: Rows of one entity are split at multiples of this many microseconds, so no window holds a whole hot entity.
 BUCKET_US = 7 * 86_400 * 1_000_000
@@ -43,7 +44,8 @@ def validity_periods(
     has a bitmap with one bit per snapshot in which it held, and b & ~(b << 1) leaves the first bit of every run
     of consecutive bits: the start of a period. A run that continues the last run of the chunk before starts no
     period. Ordinals are counted within time buckets (7 days by default), so the rows of one hot entity spread
-    over many tasks; across buckets only one summary row per 64 snapshots is ordered.
+    over many tasks; across buckets only one summary row per 64 snapshots is ordered, once forwards for the state
+    before and once backwards for the start that ends a chunk's last period.
 
     Defined cases: rows with a null or blank new state, an unreadable timestamp or a null entity part change
     nothing; several changes of one instant count as the chain's end (chain_end), repeated rows once; an empty
@@ -55,22 +57,18 @@ def validity_periods(
         return F.nullif(F.upper(F.trim(c)), F.lit(""))
 
     rows = df.select(*[c.alias(k) for k, c in zip(keys, entity.values(), strict=True)], tidy(new).alias("new"), tidy(previous).alias("prev"), parse_micros(timestamp).alias("t"))
-    edges = rows.dropna(subset=[*keys, "new", "t"]).distinct()
     instants = (
-        edges.groupBy(*keys, "t").agg(F.struct(F.collect_list("new").alias("new"), F.collect_list(F.struct("prev")).alias("p")).alias("e"))
-        .select(*keys, "t", chain_end(F.struct(F.col("e.new").alias("new"), F.col("e.p.prev").alias("prev"))).alias("state"))
+        rows.dropna(subset=[*keys, "new", "t"]).groupBy(*keys, "t").agg(F.collect_set(F.struct("new", "prev")).alias("e"))
+        .select(*keys, "t", chain_end(F.struct(F.col("e.new").alias("new"), F.col("e.prev").alias("prev"))).alias("state"))
         .filter(F.col("state").isNotNull())
         .withColumn("bucket", F.floor(F.col("t") / F.lit(bucket_us)))
     )
     ordinal = F.row_number().over(Window.partitionBy(*keys, "bucket").orderBy("t")) - 1
-    chunks = (
+    snapshots = (
         instants.withColumn("n", ordinal)
         .groupBy(*keys, "bucket", F.floor(F.col("n") / CHUNK).alias("chunk"))
         .agg(F.array_sort(F.collect_list(F.struct((F.col("n") % CHUNK).alias("bit"), "t", "state"))).alias("snaps"))
     )
-    summary = chunks.select(*keys, "bucket", "chunk", F.element_at("snaps", 1)["state"].alias("_first"), F.element_at("snaps", -1)["state"].alias("_last"))
-    before = F.lag("_last").over(Window.partitionBy(*keys).orderBy("bucket", "chunk"))
-    continued = summary.withColumn("_before", before).select(*keys, "bucket", "chunk", "_before")
     bitmaps = F.transform(
         F.array_distinct(F.transform("snaps", lambda s: s["state"])),
         lambda state: F.struct(
@@ -78,19 +76,24 @@ def validity_periods(
             F.aggregate("snaps", F.lit(0).cast("bigint"), lambda acc, s: F.when(s["state"] == state, acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), s["bit"].cast("int")))).otherwise(acc)).alias("bits"),
         ),
     )
-    first_bits = F.col("map.bits").bitwiseAND(F.bitwise_not(F.shiftleft(F.col("map.bits"), 1)))
-    starts = (
-        chunks.join(continued, [*keys, "bucket", "chunk"])
-        .select(*keys, "bucket", "snaps", "_before", F.explode(bitmaps).alias("map"))
-        .withColumn("first_bits", first_bits)
-        .select(*keys, "bucket", "_before", "map", F.explode(F.filter("snaps", lambda s: F.getbit(F.col("first_bits"), s["bit"]) == 1)).alias("snap"))
-        .filter(~((F.col("snap.bit") == 0) & F.col("map.state").eqNullSafe(F.col("_before"))))
-        .select(*keys, "bucket", F.col("map.state").alias("state"), F.col("snap.t").alias("valid_from_us"))
+
+    def run_starts(m: Column) -> Column:
+        first_bits = m["bits"].bitwiseAND(F.bitwise_not(F.call_function("shiftleft", m["bits"], F.lit(1))))
+        return F.transform(F.filter("snaps", lambda s: F.getbit(first_bits, s["bit"]) == 1), lambda s: F.struct(s["t"].alias("t"), m["state"].alias("state")))
+
+    starts = F.array_sort(F.flatten(F.transform("maps", run_starts)))
+    # one pass over the log: what follows reads the starts of runs, one row per 64 snapshots
+    chunks = checkpointed(snapshots.withColumn("maps", bitmaps).select(*keys, "bucket", "chunk", starts.alias("starts")))
+    along = Window.partitionBy(*keys).orderBy("bucket", "chunk")
+    back = Window.partitionBy(*keys).orderBy(F.desc("bucket"), F.desc("chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    first, turn = F.element_at("starts", 1), F.try_element_at("starts", F.lit(2))
+    summary = (
+        chunks.select(*keys, "bucket", "chunk", first.alias("_first"), turn["t"].alias("_turn"), F.element_at("starts", -1)["state"].alias("_last"))
+        .withColumn("_before", F.lag("_last").over(along))
+        .withColumn("_head", F.when(F.col("_first.state").eqNullSafe(F.col("_before")), F.col("_turn")).otherwise(F.col("_first.t")))
+        .select(*keys, "bucket", "chunk", "_before", F.last("_head", True).over(back).alias("_after"))
     )
-    inside = Window.partitionBy(*keys, "bucket").orderBy("valid_from_us")
-    led = starts.withColumn("_next", F.lead("valid_from_us").over(inside))
-    heads = starts.groupBy(*keys, "bucket").agg(F.min("valid_from_us").alias("_head"))
-    after = heads.select(*keys, "bucket", F.lead("_head").over(Window.partitionBy(*keys).orderBy("bucket")).alias("_after"))
-    ended = led.join(after, [*keys, "bucket"])
-    to = F.coalesce("_next", "_after", F.lit(-1).cast("bigint"))
-    return ended.select(*[F.col(k).alias(name) for k, name in zip(keys, entity, strict=True)], "state", "valid_from_us", to.alias("valid_to_us"))
+    own = F.when(first["state"].eqNullSafe(F.col("_before")), F.slice("starts", 2, CHUNK)).otherwise(F.col("starts"))
+    period = F.transform("own", lambda s, i: F.struct(s["state"].alias("state"), s["t"].alias("valid_from_us"), F.coalesce(F.try_element_at("own", i + 2)["t"], F.col("_after"), F.lit(-1).cast("bigint")).alias("valid_to_us")))
+    periods = chunks.join(summary, [*keys, "bucket", "chunk"]).withColumn("own", own).select(*keys, F.explode(period).alias("p"))
+    return periods.select(*[F.col(k).alias(name) for k, name in zip(keys, entity, strict=True)], "p.state", "p.valid_from_us", "p.valid_to_us")

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Factor of each unit to grams or millilitres (US customary measures).
@@ -169,48 +169,75 @@ def unit_factors(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(u, k, f) for u, k, f, _ in UNITS], "unit string, kind string, factor double")
 
 
-_PARSED = pa.schema([("id", pa.int64()), ("side", pa.string()), ("line", pa.int64()), ("name", pa.string()), ("parts", pa.list_(pa.struct([("number", pa.float64()), ("unit", pa.string())])))])
+_LINES = pa.list_(pa.struct([("line", pa.int64()), ("name", pa.string()), ("parts", pa.list_(pa.struct([("number", pa.float64()), ("unit", pa.string())])))]))
+_LINES_DDL = "array<struct<line: bigint, name: string, parts: array<struct<number: double, unit: string>>>>"
+
+
+def _parsed(lines: list[str | None] | None) -> list[dict]:
+    """Lines of a list that give an amount, with their positions from 1."""
+    out = []
+    for n, text in enumerate(lines or [], 1):
+        name, parts = parse_line(text)
+        if parts:
+            out.append({"line": n, "name": name, "parts": [{"number": x, "unit": u} for x, u in parts]})
+    return out
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parses the texts of all columns but the first."""
     for b in batches:
-        got = [parse_line(x) for x in b.column("text").to_pylist()]
-        parts = pa.array([[{"number": n, "unit": u} for n, u in p] for _, p in got], _PARSED.field("parts").type)
-        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("side"), b.column("line"), pa.array([n for n, _ in got], pa.string()), parts], schema=_PARSED)
+        made = [pa.array([_parsed(x) for x in b.column(i).to_pylist()], _LINES) for i in range(1, b.num_columns)]
+        yield pa.RecordBatch.from_arrays([b.column(0), *made], names=b.schema.names)
+
+
+def parsed_amounts(df: DataFrame, key: str, lists: list[str]) -> DataFrame:
+    """(key, one column per list): for each list of lines, those that give an amount of mass or volume, as an array of
+    (line, name, kind, unit, amount): amount in grams or millilitres, unit the first unit of the amount, which settles
+    its kind; parts of the other kind don't count. Lists are parsed within their rows, so nothing is shuffled.
+
+    Method: an automaton over all unit spellings (Aho-Corasick) finds units after numbers, the longest spelling
+    wins, and the surroundings settle the rest (parse_line); the conversion factors, a table whose size the
+    module fixes, are joined by broadcast as one row.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    parsed = df.select(key, *lists).mapInArrow(_parse_batches, f"`{key}` {kind}, " + ", ".join(f"`{c}` {_LINES_DDL}" for c in lists))
+    factors = unit_factors(df.sparkSession).agg(F.map_from_entries(F.collect_list(F.struct("unit", F.struct("kind", "factor")))).alias("_factors"))
+    table = parsed.crossJoin(F.broadcast(factors))
+
+    def amount(entry: Column) -> Column:
+        first = F.element_at(entry["parts"], 1)["unit"]
+        known = F.filter(entry["parts"], lambda p: F.col("_factors")[p["unit"]]["kind"] == F.col("_factors")[first]["kind"])
+        total = F.aggregate(known, F.lit(0.0), lambda acc, p: acc + p["number"] * F.col("_factors")[p["unit"]]["factor"])
+        return F.struct(entry["line"].alias("line"), entry["name"].alias("name"), F.col("_factors")[first]["kind"].alias("kind"), first.alias("unit"), total.alias("amount"))
+
+    return table.select(key, *[F.transform(c, amount).alias(c) for c in lists])
 
 
 def common_units(lines: DataFrame) -> DataFrame:
     """Amounts of ingredient lines in grams or millilitres.
 
     lines: (id BIGINT, side STRING, line BIGINT, text STRING). Returns (id, side, line, name, kind, unit, amount),
-    one row per line that gives an amount of mass or volume; kind is 'mass' or 'volume', unit the first unit of
-    the amount, amount the sum of its parts of that kind. Lines without one give no row.
-
-    Method: an automaton over all unit spellings (Aho-Corasick) finds units after numbers, the longest spelling
-    wins, and the surroundings settle the rest (parse_line); the conversion factors, a table whose size the
-    module fixes, are joined by broadcast.
+    one row per line that gives an amount of mass or volume (parsed_amounts). Lines without one give no row.
     """
-    parsed = lines.mapInArrow(_parse_batches, "id bigint, side string, line bigint, name string, parts array<struct<number: double, unit: string>>")
-    each = parsed.filter(F.size("parts") > 0).select("id", "side", "line", "name", F.posexplode("parts").alias("n", "part"))
-    known = each.join(F.broadcast(unit_factors(lines.sparkSession)), F.col("part.unit") == F.col("unit"))
-    summed = known.groupBy("id", "side", "line", "name", "kind").agg(F.sum(F.col("part.number") * F.col("factor")).alias("amount"), F.min(F.struct("n", "unit")).alias("first"))
-    return summed.filter(F.col("first.n") == 0).select("id", "side", "line", "name", "kind", F.col("first.unit").alias("unit"), "amount")
+    rows = lines.select(F.struct("id", "side", "line").alias("_key"), F.array("text").alias("_texts"))
+    return parsed_amounts(rows, "_key", ["_texts"]).select("_key.*", F.explode("_texts").alias("a")).select("id", "side", "line", "a.name", "a.kind", "a.unit", "a.amount")
 
 
 def equal_amounts(df: DataFrame, key: str, left: str, right: str, tolerance: float = 0.05) -> DataFrame:
     """Lines of two lists that give about the same amount of the same ingredient in different units.
 
     left and right name array columns of free text. Returns (key, left_line, right_line), positions from 1, of
-    lines that name the same ingredient, are both masses or both volumes, are given in different units, and
-    differ by at most tolerance of the larger amount. Null and empty arrays and null lines have no partner;
-    repeated lines and repeated keys each give their own rows once; lines without a name match none.
+    lines of one row that name the same ingredient, are both masses or both volumes, are given in different units, and
+    differ by at most tolerance of the larger amount. Both lists are parsed once and compared within their row, so
+    only results are shuffled, to give each once. Null and empty arrays and null lines have no partner, rows without a
+    key none; repeated lines each give their own rows; lines without a name match none.
     """
-    sides = [
-        df.select(F.col(key).cast("bigint").alias("id"), F.lit(side).alias("side"), F.posexplode(F.col(column)).alias("p", "text")).select("id", "side", (F.col("p") + 1).cast("bigint").alias("line"), "text")
-        for side, column in (("l", left), ("r", right))
-    ]
-    amounts = common_units(sides[0].unionByName(sides[1]).filter("id is not null and text is not null").distinct()).filter("name <> ''")
-    a = amounts.filter("side = 'l'").select("id", "name", "kind", F.col("line").alias("left_line"), F.col("unit").alias("lu"), F.col("amount").alias("la"))
-    b = amounts.filter("side = 'r'").select("id", "name", "kind", F.col("line").alias("right_line"), F.col("unit").alias("ru"), F.col("amount").alias("ra"))
-    close = F.abs(F.col("la") - F.col("ra")) <= F.lit(tolerance) * F.greatest("la", "ra") + 1e-9
-    return a.join(b, ["id", "name", "kind"]).filter((F.col("lu") != F.col("ru")) & close).select(F.col("id").alias(key), "left_line", "right_line").distinct()
+    rows = df.filter(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("_key"), F.col(left).alias("_left"), F.col(right).alias("_right"))
+    amounts = parsed_amounts(rows, "_key", ["_left", "_right"])
+
+    def partners(a: Column) -> Column:
+        close = F.filter("_right", lambda b: (b["name"] == a["name"]) & (b["kind"] == a["kind"]) & (b["unit"] != a["unit"]) & (F.abs(a["amount"] - b["amount"]) <= F.lit(tolerance) * F.greatest(a["amount"], b["amount"]) + 1e-9))
+        return F.transform(close, lambda b: F.struct(a["line"].alias("left_line"), b["line"].alias("right_line")))
+
+    pairs = amounts.select("_key", F.explode(F.flatten(F.transform(F.filter("_left", lambda a: a["name"] != ""), partners))).alias("p"))
+    return pairs.select(F.col("_key").alias(key), "p.left_line", "p.right_line").distinct()

@@ -28,14 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder all executors share.
+def shared_folder(spark: SparkSession, prefix: str) -> str:
+    """A folder all executors see: spark.checkpoint.dir of the session. Only a local master may do without that setting
+    and gets a temporary folder; a cluster without it is an error, not a folder on one machine."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix=prefix)
+
 
-    The folder is spark.checkpoint.dir of the session. Only where that is unset, as in tests on one machine, a
-    temporary folder is taken.
-    """
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the folder all executors share (shared_folder)."""
     spark = df.sparkSession
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="brindle-"))
+        context.setCheckpointDir(shared_folder(spark, "brindle-"))
     return df.checkpoint(eager=True)
