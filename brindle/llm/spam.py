@@ -18,13 +18,23 @@ from brindle.session import checkpointed
 
 @dataclass(frozen=True)
 class SpamRules:
-    """All shares are of the characters of a text's tokens; none of the limits depends on the corpus size."""
+    """All shares are of the characters of a text's tokens. Shares of texts don't depend on the corpus size; only
+    least_texts does, below which a count tells nothing whatever the share."""
 
     #: A neighbouring pair is known from this share of all texts on (and from least_texts texts on), ...
     known_share: float = 0.0005
     least_texts: int = 3
     #: ... its words attract each other in this order: mean information of the pair against its reverse (bits).
     order_bits: float = 0.585
+    #: Words are salad where the mean information of neighbours within so many tokens is below this share of what these
+    #: words have on average in the corpus, if that is at least so many bits a token.
+    company_reach: int = 16
+    company: float = 0.3
+    company_bits: float = 1.8
+    #: Words that come again within so many tokens, but never beside the same word, are shuffled keywords where they are
+    #: this share of the words around.
+    shuffle_reach: int = 128
+    shuffled: float = 0.8
     #: A word in more than this share of texts is no keyword, however often a text has it.
     common_share: float = 0.1
     #: A word is repeated from so many times in a text on; a known collocation from so many times in a window on.
@@ -49,10 +59,12 @@ class SpamRules:
 
 
 _MARKS = "".join(f"\\u{i:04x}" for i in range(0x300, 0xFFFF) if unicodedata.category(chr(i)) in ("Mn", "Mc", "Me"))
-_TOKENS = re.compile(rf"https?://[^\s\]\"<>|]+|\[\[category:[^\]\n]*\]\]|<a\s[^<>]*>|</?[a-z][^<>]*>|#\w[\w-]*|\w+-\w+-\d+|[\w{_MARKS}]+")
+_TOKENS = re.compile(rf"\|\||!!|\n[|!*#:;]+|https?://[^\s\]\"<>|]+|\[\[category:[^\]\n]*\]\]|<a\s[^<>]*>|</?[a-z][^<>]*>|#\w[\w-]*|\w+-\w+-\d+|[\w{_MARKS}]+")
 
 MEMO_WORDS = 400_000
 WORD, NUMBER, LINK, CATEGORY, TAG, LABEL = range(6)
+#: Marks what begins a cell of a table.
+CELL = -1
 
 
 class _Vocabulary(dict):
@@ -68,7 +80,7 @@ class _Vocabulary(dict):
             kind = LINK
         elif token[0] == "[":
             kind = CATEGORY
-        elif token[0] == "<":
+        elif token[0] in "<|!\n":  # what stands in another cell, row or list entry is no neighbour
             kind = TAG
         elif token[0] == "#" or "-" in token:
             kind = LABEL
@@ -78,6 +90,8 @@ class _Vocabulary(dict):
         long = kind == WORD and len(token) >= 6
         head = xxhash.xxh3_64_intdigest("^" + token[:4]) >> 1 if long and token[:4].isalpha() else 0
         tail = xxhash.xxh3_64_intdigest("$" + token[-4:]) >> 1 if long and token[-4:].isalpha() else 0
+        if kind == TAG and token[-1] in "|!":
+            head = CELL
         self[token] = number = len(self.rows)
         self.rows.append((whole, head, tail, kind, len(token) + 1))
         return number
@@ -108,15 +122,15 @@ def tokens_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return rows, np.repeat(np.arange(len(texts)), sizes)
 
 
+ID_BITS = 31
+_ID = (1 << ID_BITS) - 1
+ALL = -(1 << 62)
+
+
 def pair_keys(rows: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of different neighbouring words of one text and the key of each pair: positive, the same for both orders
-    but for its lowest bit."""
+    """Places of different neighbouring words of one text and the key of each pair: the short ids of both in order."""
     at = np.flatnonzero((doc[1:] == doc[:-1]) & (rows[1:, 3] == WORD) & (rows[:-1, 3] == WORD) & (rows[1:, 0] != rows[:-1, 0])) if len(doc) else np.zeros(0, int)
-    a, b = rows[at, 0], rows[at + 1, 0]
-    less = a < b
-    low, high = np.where(less, a, b).view(np.uint64), np.where(less, b, a).view(np.uint64)
-    mixed = (low * np.uint64(0x9E3779B97F4A7C15)) ^ (high + (low >> np.uint64(7)))
-    return at, ((mixed >> np.uint64(2)).view(np.int64) << 1) | less
+    return at, ((rows[at, 0] & _ID) << ID_BITS) | (rows[at + 1, 0] & _ID)
 
 
 def _per_text(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,15 +140,26 @@ def _per_text(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many texts of a batch each pair (key > 0) and each word (key < 0) is; key 0 counts texts with words."""
+    """In how many texts of a batch each pair (key > 0, the smaller id first; reverse counts the other order) and each
+    word (key < 0; reverse counts the different neighbours it has in them) is; key 0 counts texts with words, key ALL the
+    distinct words of each."""
     for batch in batches:
         rows, doc = tokens_of(batch.column(0).to_pylist())
         at, keys = pair_keys(rows, doc)
-        pair, pair_n = _per_text(keys, doc[at])
+        once = keys[np.unique(_mixed(keys, doc[at]), return_index=True)[1]]
+        pair, pair_n = np.unique(once, return_counts=True)
+        first, second = pair >> ID_BITS, pair & _ID
+        forward = first < second
+        pair = (np.minimum(first, second) << ID_BITS) | np.maximum(first, second)
         words = rows[:, 3] == WORD
-        word, word_n = _per_text(rows[words, 0], doc[words])
+        word, word_n = _per_text(rows[words, 0] & _ID, doc[words])
         texts = len(np.unique(doc))
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[pair, -word - 1, 0]), pa.array(np.r_[pair_n, word_n, texts].astype(np.int64))], names=["key", "texts"])
+        ends, ends_n = np.unique(np.r_[once >> ID_BITS, once & _ID], return_counts=True)
+        beside = np.zeros(len(word), np.int64)
+        beside[np.searchsorted(word, ends)] = ends_n
+        n = np.r_[np.where(forward, pair_n, 0), word_n, texts, word_n.sum()].astype(np.int64)
+        reverse = np.r_[np.where(forward, 0, pair_n), beside, 0, 0].astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[pair, -word - 1, 0, ALL]), pa.array(n), pa.array(reverse)], names=["key", "texts", "reverse"])
 
 
 def _around(values: np.ndarray, doc: np.ndarray, reach: int) -> np.ndarray:
@@ -158,24 +183,58 @@ def _counts(keys: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return n[group]
 
 
-def matter_shares(texts: list[str | None], known: np.ndarray, common: np.ndarray, rules: SpamRules) -> np.ndarray:
-    """Share of each text that consists of repeated keywords, links or tags; 0 for texts of a few tokens."""
+@dataclass(frozen=True)
+class Company:
+    """What the corpus tells of neighbouring words, keys and ids sorted."""
+
+    #: Known pairs, their pointwise mutual information (bits, not below 0) and whether they keep this order.
+    pairs: np.ndarray
+    bits: np.ndarray
+    ordered: np.ndarray
+    #: Known words, the mean information they have with the word after and the word before, and whether they are common.
+    words: np.ndarray
+    after: np.ndarray
+    before: np.ndarray
+    common: np.ndarray
+
+
+def _found(sought: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each sought key among the known ones, and whether it is there."""
+    if not len(known):
+        return np.zeros(len(sought), np.int64), np.zeros(len(sought), bool)
+    place = np.minimum(np.searchsorted(known, sought), len(known) - 1)
+    return place, known[place] == sought
+
+
+def matter_shares(texts: list[str | None], company: Company, rules: SpamRules) -> np.ndarray:
+    """Share of each text that consists of keywords, links or tags; 0 for texts of a few tokens."""
     rows, doc = tokens_of(texts)
     n = len(doc)
     if not n:
         return np.zeros(len(texts))
     whole, head, tail, kind, size = rows.T
     at, forward = pair_keys(rows, doc)
-    place = np.searchsorted(known, forward)
-    hit = at[known[np.minimum(place, len(known) - 1)] == forward] if len(known) else at[:0]
+    place, there = _found(forward, company.pairs)
+    hit = at[there & company.ordered[place]] if len(company.pairs) else at[:0]
     coherent = np.zeros(n, bool)
     coherent[hit] = coherent[hit + 1] = True
-    place = np.searchsorted(common, whole)
-    frequent = common[np.minimum(place, len(common) - 1)] == whole if len(common) else np.zeros(n, bool)
+    spot, known = _found(whole & _ID, company.words)
+    known &= kind == WORD
+    frequent = known & company.common[spot] if len(company.words) else known
+
+    # salad: known words whose neighbours tell far less of each other than these words' neighbours do in the corpus
+    told, usual = np.zeros(n), np.zeros(n)
+    if len(company.words):
+        told[at] = np.where(there, company.bits[place], 0.0) if len(company.pairs) else 0.0
+        both = known[at] & known[at + 1]
+        usual[at] = np.where(both, (company.after[spot[at]] + company.before[spot[at + 1]]) / 2, 0.0)
+    near = _around(np.ones(n), doc, rules.company_reach)
+    expected = _around(usual, doc, rules.company_reach)
+    strange = known & ~coherent & (_around(told, doc, rules.company_reach) < rules.company * expected) & (expected >= rules.company_bits * near)
 
     again = _counts(whole, doc) >= rules.repeated
     part = np.zeros(n, bool)
-    long = np.flatnonzero((head != 0) & ~coherent)
+    long = np.flatnonzero((head > 0) & ~coherent)
     part[long] = (_counts(head[long], doc[long]) >= rules.part_repeated) | (_counts(tail[long], doc[long]) >= rules.part_repeated)
     # a collocation that comes again and again within a few words
     order = np.argsort(_mixed(whole, doc), kind="stable")
@@ -187,7 +246,22 @@ def matter_shares(texts: list[str | None], known: np.ndarray, common: np.ndarray
         for i in range(rules.dense):
             close[order[np.flatnonzero(run) + i]] = True
     word = kind == WORD
-    repeated = word & ((~coherent & (again | part)) | (close & ~frequent))
+    # keywords in ever new orders: words that come again nearby while their neighbours don't
+    next_to = order[1:]
+    again_near = np.flatnonzero((whole[order[:-1]] == whole[next_to]) & (doc[order[:-1]] == doc[next_to]) & (next_to - order[:-1] <= rules.shuffle_reach))
+    moved = np.zeros(n, bool)
+    moved[order[again_near]] = moved[next_to[again_near]] = True
+    beside = np.zeros(n, bool)
+    beside[at] = beside[at + 1] = True
+    moved &= beside  # a cell or an entry of its own keeps no company
+    if len(at):
+        same = at[_counts(forward, doc[at]) > 1]
+        moved[same] = moved[same + 1] = False
+    words_near = _around(word.astype(float), doc, rules.company_reach)
+    strange |= word & ~coherent & (_around((moved & word).astype(float), doc, rules.company_reach) >= rules.shuffled * words_near)
+    # a word that is all of a table's cell is a value, however often it comes
+    mark = np.maximum.accumulate(np.where((kind == TAG) | (np.r_[True, doc[1:] != doc[:-1]]), np.arange(n), 0))
+    repeated = word & ~((head[mark] == CELL) & ~beside) & ((~coherent & (again | part)) | (close & ~frequent) | strange)
 
     def many(what: int, least: int) -> np.ndarray:
         return (kind == what) & (np.bincount(doc[kind == what], minlength=doc[-1] + 1)[doc] >= least)
@@ -206,33 +280,43 @@ def matter_shares(texts: list[str | None], known: np.ndarray, common: np.ndarray
     return np.where(enough & (total > 0), matter / np.maximum(total, 1), 0.0)
 
 
-def ordered_pairs(df: DataFrame, rules: SpamRules = SpamRules()) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the neighbouring words that attract each other in this order, and the hashes of common words.
+def corpus_company(df: DataFrame, rules: SpamRules = SpamRules()) -> Company:
+    """Pointwise mutual information of neighbouring words, and the mean of it that each word usually has.
 
     df has one text column. All texts are counted, batches are summed before the shuffle. What comes to the driver
     is bounded whatever the corpus: with m distinct pairs in a mean text, at most m / known_share pairs are in that
-    share of all texts, and likewise for words.
+    share of all texts, and likewise for words. Counts are of texts, so a text that repeats itself has one vote.
     """
-    counts = df.mapInArrow(_count_batches, "key bigint, texts bigint").groupBy("key").agg(F.sum("texts").alias("texts"))
-    both = counts.groupBy(F.when(F.col("key") > 0, F.shiftright("key", 1)).otherwise(F.col("key")).alias("pair"), (F.col("key") > 0).alias("is_pair")).agg(
-        F.sum(F.when(~((F.col("key") > 0) & (F.col("key").bitwiseAND(F.lit(1)) == 1)), F.col("texts"))).alias("n0"),
-        F.sum(F.when((F.col("key") > 0) & (F.col("key").bitwiseAND(F.lit(1)) == 1), F.col("texts"))).alias("n1"),
-    )
-    sums = checkpointed(both.filter((F.coalesce("n0", F.lit(0)) >= rules.least_texts) | (F.coalesce("n1", F.lit(0)) >= rules.least_texts)).fillna(0, ["n0", "n1"]))
-    texts = sums.filter("pair = 0 and not is_pair").agg(F.sum("n0")).first()[0] or 0
+    counts = df.mapInArrow(_count_batches, "key bigint, texts bigint, reverse bigint").groupBy("key").agg(F.sum("texts").alias("texts"), F.sum("reverse").alias("reverse"))
+    often = F.when(F.col("key") > 0, F.greatest("texts", "reverse")).otherwise(F.col("texts"))
+    kept = checkpointed(counts.withColumn("often", often).filter(F.col("often") >= rules.least_texts))
+    sums = {r["key"]: r["texts"] for r in kept.filter(F.col("key").isin(0, ALL)).collect()}
+    texts, total = sums.get(0, 0), float(sums.get(ALL, 0))
     least = max(rules.least_texts, rules.known_share * texts)
-    # information of the pair against the mean of both orders, smoothed by half a text
-    bits = F.log2((F.greatest("n0", "n1") + 0.5) / ((F.col("n0") + F.col("n1")) / 2 + 0.5))
-    pairs = sums.filter(F.col("is_pair") & (F.greatest("n0", "n1") >= least) & (bits >= rules.order_bits)).select((F.shiftleft("pair", 1).bitwiseOR((F.col("n1") > F.col("n0")).cast("bigint"))).alias("key"))
-    words = sums.filter(~F.col("is_pair") & (F.col("pair") < 0) & (F.col("n0") >= rules.common_share * texts)).select((-F.col("pair") - 1).alias("key"))
-    return tuple(np.sort(x.toPandas()["key"].to_numpy(np.int64)) for x in (pairs, words))
+    known = kept.filter((F.col("often") >= least) & ~F.col("key").isin(0, ALL)).toPandas().sort_values("key")
+    keys, n, back = known["key"].to_numpy(np.int64), known["texts"].to_numpy(float), known["reverse"].to_numpy(float)
+    words, word_n, beside = (x[keys < 0][::-1] for x in (-keys - 1, n, back))
+    keys, n, back = keys[keys > 0], n[keys > 0], back[keys > 0]
+    # both orders of a pair, each with the count of the other
+    pairs, pair_n, reverse = np.r_[keys, ((keys & _ID) << ID_BITS) | (keys >> ID_BITS)], np.r_[n, back], np.r_[back, n]
+    order = np.argsort(pairs)
+    order = order[pair_n[order] >= least]
+    pairs, pair_n, reverse = pairs[order], pair_n[order], reverse[order]
+    first, second = pairs >> ID_BITS, pairs & _ID
+    ordered = (pair_n >= reverse) & (np.log2((pair_n + 0.5) / ((pair_n + reverse) / 2 + 0.5)) >= rules.order_bits)
+    (a, has_a), (b, has_b) = _found(first, words), _found(second, words)
+    if len(words):
+        bits = np.where(has_a & has_b, np.maximum(0.0, np.log2(pair_n * total / (word_n[a] * word_n[b]))), 0.0)
+        after, before = (np.bincount(x[ok], (pair_n * bits)[ok], minlength=len(words)) / np.maximum(beside / 2, 1) for x, ok in ((a, has_a), (b, has_b)))
+    else:
+        bits, after, before = np.zeros(len(pairs)), np.zeros(0), np.zeros(0)
+    return Company(pairs, bits.astype(np.float32), ordered, words, after.astype(np.float32), before.astype(np.float32), word_n >= rules.common_share * texts)
 
 
 def _found_batches(model, rules: SpamRules):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, common = model.value
         for batch in batches:
-            shares = matter_shares(batch.column(1).to_pylist(), known, common, rules)
+            shares = matter_shares(batch.column(1).to_pylist(), model.value, rules)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shares, pa.float64())], names=["doc_id", "matter"])
 
     return run
@@ -241,19 +325,21 @@ def _found_batches(model, rules: SpamRules):
 def spam_pages(df: DataFrame, doc_id: str, text: str, rules: SpamRules = SpamRules()) -> DataFrame:
     """(doc_id, matter): texts of which more than half consists of repeated keywords, links or tags, and how much.
 
-    Method: pointwise mutual information of neighbouring words from corpus counts. What tells sentences from lists
-    of keywords of one subject is not that their words meet often (keywords do), but that they meet in one order:
-    the information of a pair is taken against the mean of both orders, over the texts that hold it. Words of known
-    ordered pairs speak for sentences, unless a collocation comes again excessively within a few words; words that
-    are repeated in a text without known neighbours, links, and lists of categories or labels speak against. The
-    evidence is averaged over neighbouring tokens, so that the share holds whatever the layout and wherever
-    sentences stand. Two passes over the corpus; only counts are shuffled, the pairs that are broadcast are bounded
-    (ordered_pairs). Unknown words speak for prose, so languages the corpus hardly has are not flagged.
+    Method: mean pointwise mutual information of neighbouring words from corpus counts. Each word has a mean
+    information with its neighbours in the corpus. Where the neighbours in a text tell far less of each other than these
+    words usually do, known words stand in unknown company: word salad. Words that come again and again in ever new
+    company are salad too, known or not. Keywords of one subject meet often, so what speaks for sentences is a known pair that keeps one
+    order (information of the pair against the mean of both orders); a collocation that comes again excessively
+    within a few words doesn't. Words repeated in a text without such neighbours, links, and lists of categories or
+    labels speak against. The evidence is averaged over neighbouring tokens, so that the share holds whatever the
+    layout and wherever sentences stand. Two passes over the corpus; only counts are shuffled, what is broadcast is
+    bounded (corpus_company). Words the corpus hardly has tell nothing of their company; they speak for prose against
+    mere repetition, as in a language of few texts.
 
     Defined cases: null, empty and blank texts and texts of fewer than least_tokens tokens are no cases; repeated
     rows are judged each; very long texts take time in proportion; extra columns are ignored.
     """
     spark = df.sparkSession
-    model = spark.sparkContext.broadcast(ordered_pairs(df.select(F.col(text).cast("string").alias("text")), rules))
+    model = spark.sparkContext.broadcast(corpus_company(df.select(F.col(text).cast("string").alias("text")), rules))
     rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(_found_batches(model, rules), "doc_id bigint, matter double").filter(F.col("matter") > rules.share)

@@ -6,7 +6,6 @@ import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -150,19 +149,29 @@ def _column_votes(columns: list[dict[str, float]]) -> list[dict]:
     return [{"column": i, "token": t, "weight": float(w)} for i, c in enumerate(columns) for t, w in c.items()]
 
 
-def _profile(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The votes of a group's heaviest values in the columns of their progressive alignment."""
-    ordered = sorted(zip(pdf["value"], pdf["weight"], strict=True), key=lambda v: (-v[1], v[0]))
-    columns: list[dict[str, float]] = []
-    total = 0.0
-    for value, weight in ordered:
-        columns = align(columns, tokens(value), weight, max(total, 1e-9))
-        total += weight
-    last, weight = ordered[-1]
-    return pd.DataFrame({"key": [pdf["key"].iloc[0]], "votes": [_column_votes(columns)], "total": [total], "last": [last], "last_weight": [weight]})
+_VOTES = pa.list_(pa.struct([("column", pa.int64()), ("token", pa.string()), ("weight", pa.float64())]))
 
 
-_VOTES = pa.list_(pa.struct([("column", pa.int64()), ("token", pa.string()), ("weight", pa.float64())]))
+_PROFILE = pa.schema([("key", pa.string()), ("votes", _VOTES), ("total", pa.float64()), ("last", pa.string()), ("last_weight", pa.float64())])
+_PROFILE_DDL = "key string, votes array<struct<column: bigint, token: string, weight: double>>, total double, last string, last_weight double"
+
+
+def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per group the votes of its heaviest values in the columns of their progressive alignment. Rows come by group,
+    heaviest first; the profile of one group is all that is kept."""
+    key, columns, total, last, weight = None, [], 0.0, None, 0.0
+    for b in batches:
+        out = []
+        for k, value, w in zip(*(b.column(c).to_pylist() for c in ("key", "value", "weight")), strict=True):
+            if k != key:
+                if key is not None:
+                    out.append((key, _column_votes(columns), total, last, weight))
+                key, columns, total = k, [], 0.0
+            columns = align(columns, tokens(value), w, max(total, 1e-9))
+            total, last, weight = total + w, value, w
+        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], f.type) for i, f in enumerate(_PROFILE)], schema=_PROFILE)
+    if key is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((key, _column_votes(columns), total, last, weight), _PROFILE, strict=True)], schema=_PROFILE)
 
 
 def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +200,10 @@ def _agreed(df: DataFrame, field: str, weight: str, guide: int) -> DataFrame:
     votes = checkpointed(named.groupBy("key", "value").agg(F.first("grp").alias("grp"), F.round(F.sum("w"), 9).alias("weight")))
     order = Window.partitionBy("key").orderBy(F.desc("weight"), "value")
     top = votes.select("key", "value", "weight").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= guide)
-    profiles = checkpointed(top.groupBy("key").applyInPandas(_profile, "key string, votes array<struct<column: bigint, token: string, weight: double>>, total double, last string, last_weight double"))
+    # the work is in the alignment, not in the bytes, so partitions are not coalesced by their size
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ready = top.repartition(spread, "key").sortWithinPartitions("key", F.desc("weight"), "value").select("key", "value", "weight")
+    profiles = checkpointed(ready.mapInArrow(_profile_batches, _PROFILE_DDL))
     further = votes.join(profiles, "key").filter((F.col("weight") < F.col("last_weight")) | ((F.col("weight") == F.col("last_weight")) & (F.col("value") > F.col("last"))))
     added = further.select("key", "value", "weight", "votes", "total").mapInArrow(_vote_batches, "key string, votes array<struct<column: bigint, token: string, weight: double>>")
     each = profiles.select("key", F.explode("votes").alias("v")).unionByName(added.select("key", F.explode("votes").alias("v")))
