@@ -39,6 +39,7 @@ def words(x: Column) -> Column:
 
 
 def normalize_ingredient(x: Column) -> Column:
+    # fixed value: how amounts are spelled
     bare = F.regexp_replace(normalize_text(x), r"\b\d+(?:\s+\d+/\d+|/\d+|\.\d+)?\b", " ")
     return F.trim(F.regexp_replace(F.regexp_replace(bare, MEASURE, " "), r"\s+", " "))
 
@@ -83,12 +84,19 @@ def simhash(tokens: Column) -> Column:
 
 
 def hamming_similarity(left_hex: Column, right_hex: Column) -> Column:
-    """1 - differing bits / 64 of two 16-digit hex strings, whatever their case; null if either is no such string."""
+    """1 - differing bits / bits of the longer of two hex strings, whatever their case; null if either is no such string
+    or empty."""
 
     def bits(x: Column) -> Column:
-        return F.when(x.rlike("^[0-9a-fA-F]{16}$"), F.conv(F.upper(x), 16, -10).cast("bigint"))
-
-    return 1 - F.bit_count(bits(left_hex).bitwiseXOR(bits(right_hex))) / 64
+        return F.conv(F.upper(x), 16, -10).cast("bigint")
+
+    ok = left_hex.rlike("^[0-9a-fA-F]+$") & right_hex.rlike("^[0-9a-fA-F]+$")
+    longest = F.greatest(F.length(left_hex), F.length(right_hex))
+    left, right = F.lpad(left_hex, longest, F.lit("0")), F.lpad(right_hex, longest, F.lit("0"))
+    parts = F.sequence(F.lit(1), longest, F.lit(15))
+    far = F.aggregate(parts, F.lit(0), lambda acc, i: acc + F.bit_count(bits(F.substring(left, i, F.lit(15))).bitwiseXOR(bits(F.substring(right, i, F.lit(15))))))
+    usual = (F.length(left_hex) == 16) & (F.length(right_hex) == 16)
+    return F.when(ok & usual, 1 - F.bit_count(bits(left_hex).bitwiseXOR(bits(right_hex))) / 64).when(ok, 1 - far / (4 * longest))
 
 
 def jaccard(a: Column, b: Column) -> Column:

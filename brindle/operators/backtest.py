@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brindle.operators.timeseries import as_of, nearest_after
+from brindle.operators.relational import numbered_within
+from brindle.operators.score import Params, score_items
+from brindle.operators.timeseries import DAY_US, as_of, nearest_after
+from brindle.session import checkpointed
 
 FAMILIES = ["raw_rating", "confidence_lcb", "bayes_m50"]
 
@@ -29,35 +32,64 @@ def baseline_scores(items: DataFrame) -> DataFrame:
 
 
 def prediction_metrics(predicted: DataFrame, future: DataFrame, least: int = 5) -> DataFrame:
-    """(cutoff, family, recipes, rank_correlation, posterior_mae, score_mae, top10_overlap).
+    """(cutoff, horizon, family, recipes, rank_correlation, posterior_mae, score_mae, top10_overlap).
 
-    predicted: (cutoff, family, id, n, posterior, score); future: (cutoff, id, future_rating, future_n). Ranks are
-    those among all predicted items, as published; cutoffs with fewer than least common items are left out. Ties go
-    to the smaller id.
+    predicted: (cutoff, family, id, n, posterior, score); future: (cutoff, horizon, id, future_rating, future_n). Ranks
+    are those among all predicted items, as published; windows with fewer than least common items are left out. Ties go
+    to the smaller id. Both ranks are numbered without a task that holds a cutoff.
     """
-    part = Window.partitionBy("cutoff", "family")
-    ranked = predicted.withColumn("rank", F.row_number().over(part.orderBy(F.desc(F.round("score", 9)), F.desc("n"), "id")))
-    both = ranked.join(future, ["cutoff", "id"]).withColumn("later", F.row_number().over(part.orderBy(F.desc("future_rating"), F.desc("future_n"), "id")))
-    sums = both.groupBy("cutoff", "family").agg(
+    ranked = numbered_within(predicted, ["cutoff", "family"], [F.desc(F.round("score", 9)), F.desc("n"), F.asc("id")], "rank")
+    # the order of the future is that of the window's items, whatever the family
+    later = numbered_within(future.join(predicted.select("cutoff", "id").distinct(), ["cutoff", "id"], "left_semi"), ["cutoff", "horizon"], [F.desc("future_rating"), F.desc("future_n"), F.asc("id")], "later")
+    sums = ranked.join(later, ["cutoff", "id"]).groupBy("cutoff", "horizon", "family").agg(
         F.count(F.lit(1)).alias("recipes"), F.covar_pop("later", "rank").alias("c"), F.stddev_pop("later").alias("sx"), F.stddev_pop("rank").alias("sy"),
         F.avg(F.abs(F.col("posterior") - F.col("future_rating"))).alias("posterior_mae"), F.avg(F.abs(F.col("score") - F.col("future_rating"))).alias("score_mae"),
         F.count_if((F.col("later") <= 10) & (F.col("rank") <= 10)).alias("hits"),
     )
     correlation = F.coalesce(F.try_divide("c", F.col("sx") * F.col("sy")), F.lit(1.0))
-    return sums.filter(F.col("recipes") >= least).select("cutoff", "family", "recipes", correlation.alias("rank_correlation"), "posterior_mae", "score_mae", (F.col("hits") / F.least(F.lit(10), "recipes")).alias("top10_overlap"))
+    return sums.filter(F.col("recipes") >= least).select("cutoff", "horizon", "family", "recipes", correlation.alias("rank_correlation"), "posterior_mae", "score_mae", (F.col("hits") / F.least(F.lit(10), "recipes")).alias("top10_overlap"))
 
 
-def backtest(readings: DataFrame, cutoffs: DataFrame, horizon_us: int, tolerance_us: int, least_count: int) -> DataFrame:
-    """Metrics of the baseline families at each cutoff against the first reading after the horizon."""
-    items = as_of(readings, cutoffs).select("cutoff", F.col("key").alias("id"), "rating", "n")
-    targets = cutoffs.select((F.col("cutoff") + horizon_us).alias("target"))
-    future = nearest_after(readings, targets, tolerance_us, least_count).select((F.col("target") - horizon_us).alias("cutoff"), F.col("key").alias("id"), F.col("rating").alias("future_rating"), F.col("n").alias("future_n"))
-    return prediction_metrics(baseline_scores(items), future)
+def backtest_windows(first: int, last: int, horizons: tuple[int, ...] = (30, 60, 90), most: int = 6) -> list[tuple[int, int]]:
+    """(cutoff, horizon in days): per horizon up to most evenly spaced cutoffs, the first some days after the log begins,
+    the last early enough for the horizon to pass; none for horizons the log is too short for."""
+    out = []
+    for days in horizons:
+        low, high = first + min(14, max(1, days // 3)) * DAY_US, last - (days + 2) * DAY_US
+        count = min(most, (high - low) // DAY_US // 7 + 1)
+        if low < high:
+            out += [(low + (high - low) * i // max(1, count - 1), days) for i in range(count)]
+    return out
+
+
+def backtest(readings: DataFrame, windows: list[tuple[int, int]], grid: list[Params], tolerance_us: int = 10 * DAY_US, least_count: int = 250) -> DataFrame:
+    """Metrics of every parameter set and every baseline in every window (cutoff, horizon), as one plan.
+
+    readings: (key, t, rating, n, source, evidence_confidence, categories, rating_histogram). family is 'config:<number
+    of the grid's point>' or the baseline's name. The state of each cutoff is made once, whatever the horizons; the
+    future rating is the first one within tolerance after the horizon that has enough ratings.
+    """
+    spark = readings.sparkSession
+    cutoffs = spark.createDataFrame([(c,) for c in sorted({c for c, _ in windows})], "cutoff bigint")
+    state = checkpointed(as_of(readings, cutoffs, "source", "evidence_confidence", "categories", "rating_histogram"))
+    items = state.select("cutoff", F.col("key").alias("id"), "source", "rating", "n", F.col("evidence_confidence").alias("confidence"), "categories", F.col("rating_histogram").alias("histogram"))
+    scored = score_items(items, grid, by=["cutoff"]).select("cutoff", F.concat(F.lit("config:"), F.col("scenario").cast("string")).alias("family"), "id", "n", "posterior", "score")
+    targets = spark.createDataFrame([(c + d * DAY_US, c, d) for c, d in windows], "target bigint, cutoff bigint, horizon int")
+    future = nearest_after(readings, targets.select("target").distinct(), tolerance_us, least_count).join(F.broadcast(targets), "target").select("cutoff", "horizon", F.col("key").alias("id"), F.col("rating").alias("future_rating"), F.col("n").alias("future_n"))
+    return prediction_metrics(scored.unionByName(baseline_scores(items)), checkpointed(future))
 
 
 def summaries(metrics: DataFrame) -> DataFrame:
-    """(family, windows, recipes, mean figures), best family first by correlation."""
+    """(family, windows, recipes, mean figures): null correlations are skipped."""
     return metrics.groupBy("family").agg(
         F.count(F.lit(1)).alias("windows"), F.sum("recipes").alias("recipes"), F.avg("rank_correlation").alias("rank_correlation"), F.avg("posterior_mae").alias("posterior_mae"),
         F.avg("score_mae").alias("score_mae"), F.avg("top10_overlap").alias("top10_overlap"),
     )
+
+
+def recommendation(summary: DataFrame, least_windows: int = 4, least_recipes: int = 75) -> DataFrame:
+    """The parameter set that does best in enough windows, or no row: by correlation (null as -1), then the error of the
+    posterior, then the overlap, then the number. Baselines are never recommended."""
+    known = summary.filter(F.col("family").startswith("config:") & (F.col("windows") >= least_windows) & (F.col("recipes") >= least_recipes))
+    number = F.substring("family", 8, 9).cast("int")
+    return known.orderBy(F.desc(F.round(F.coalesce("rank_correlation", F.lit(-1.0)), 9)), F.round("posterior_mae", 9), F.desc(F.round("top10_overlap", 9)), number).limit(1)

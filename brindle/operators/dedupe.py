@@ -14,14 +14,18 @@ from brindle.operators.graph import connected_components
 from brindle.session import checkpointed
 
 THRESHOLD = 0.80
-#: Weights of the signals of a pair.
+#: What makes strong evidence of a duplicate.
+STRONG = {"title": 0.88, "ingredients": 0.62, "title_with_image": 0.94, "title_alone": 0.97, "image": 0.90, "simhash": 0.88}
+#: Weights of the signals of a pair; the image's address counts where its hash is missing.
 WEIGHTS = {"title": 0.38, "ingredients": 0.35, "instructions": 0.08, "simhash": 0.07, "author": 0.04, "image": 0.08, "image_url": 0.03}
 
 
 def prepared(records: DataFrame) -> DataFrame:
-    """Records (id, title, ingredients, instructions, url, author, simhash, image) with what pairs are compared on."""
+    """Records (id, title, ingredients, instructions, url, author, simhash, image, n), where there also image_url and
+    confidence, with what pairs are compared on."""
+    more = [F.col(c) if c in records.columns else F.lit(None).cast(t).alias(c) for c, t in (("image_url", "string"), ("confidence", "double"))]
     return records.select(
-        "id", "url", "simhash", "image", "n",
+        "id", "url", "simhash", "image", "n", *more,
         X.title_form(F.coalesce("title", F.lit(""))).alias("form"), X.normalize_text(F.coalesce("title", F.lit(""))).alias("plain"),
         X.ingredient_tokens(F.col("ingredients")).alias("items"), X.long_words(F.col("instructions")).alias("steps"), X.normalize_text(F.coalesce("author", F.lit(""))).alias("author"),
     )
@@ -47,49 +51,105 @@ def blocked_pairs(keys: DataFrame) -> DataFrame:
     return x.join(y, "key").filter("a < b").select("a", "b").distinct()
 
 
+def _chunks(hex16: Column, name: str, count: int) -> Column:
+    """Parts of a fingerprint of up to 16 digits, one of which two with fewer differing bits than parts share."""
+    bits = F.when(F.coalesce(hex16, F.lit("")).rlike("^[0-9a-fA-F]{1,16}$"), F.lpad(F.conv(F.upper(hex16), 16, 2), 64, "0"))
+    size = -(-64 // count)
+    return F.when(bits.isNotNull(), F.array(*[F.concat(F.lit(f"{name}{i}:"), F.substring(bits, 1 + i * size, size)) for i in range(count)])).otherwise(F.array().cast("array<string>"))
+
+
+def duplicate_candidates(p: DataFrame) -> DataFrame:
+    """Distinct (a, b), a < b, that share a block and some evidence without which no pair is a duplicate.
+
+    A duplicate has an equal address, or ingredients alike (one of the first size - 0.62 size + 1 in a common order is
+    then shared), or a like image hash (one of its seven parts is equal), or an equal author or image address, or a like
+    simhash (one of eight parts). Keys are made of the block and one such piece, so that a block that many records share
+    falls into small ones and is never compared all with all; nothing that can be a duplicate is lost.
+    """
+    ordered = F.transform(F.array_sort(F.transform("items", lambda t: F.struct(F.xxhash64(t).alias("h"), t.alias("t")))), lambda x: F.concat(F.lit("i:"), x["t"]))
+    size = F.size("items")
+    first = F.slice(ordered, F.lit(1), (size - F.ceil(size * STRONG["ingredients"] - 1e-9) + 1).cast("int"))
+    single = F.filter(F.array(*[F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(k), c)) for k, c in (("u:", F.col("url")), ("a:", F.col("author")), ("p:", F.col("image_url")))]), lambda x: x.isNotNull())
+    # up to 6 of 64 bits differ at 0.90, up to 7 at 0.88
+    evidence = F.concat(single, F.when(size > 0, first).otherwise(F.array().cast("array<string>")), _chunks(F.col("image"), "m", 7), _chunks(F.col("simhash"), "s", 8))
+    # longer hashes than any in use are not cut, but held together
+    other = F.when((F.length("image") > 16) | (F.length("simhash") > 16), F.array(F.lit("long hash"))).otherwise(F.array().cast("array<string>"))
+    pieces = p.select("id", F.explode(F.array_distinct(F.concat(evidence, other))).alias("piece"))
+    keys = block_keys(p).join(pieces, "id").select("id", F.xxhash64("key", "piece").alias("key"))
+    return blocked_pairs(keys)
+
+
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(x: pd.Series, y: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of two texts, nulls as empty ones; Spark has no built-in with these results."""
     return pd.Series([SequenceMatcher(None, a or "", b or "").ratio() for a, b in zip(x, y, strict=True)], dtype=float)
 
 
-def similarity(pairs: DataFrame, p: DataFrame) -> DataFrame:
+def similarity(pairs: DataFrame, p: DataFrame, least: float | None = None) -> DataFrame:
     """(a, b, score) of pairs of prepared records: the weighted mean of the signals that are present, capped below
-    the threshold without strong evidence; equal addresses give 1."""
+    the threshold without strong evidence; equal addresses give 1.
+
+    With least (the threshold or more) only pairs that reach it are returned: pairs that couldn't with the best title
+    their lengths allow are dropped before titles are compared, which is the one signal that is not JVM-side.
+    """
     left = p.select(*[F.col(c).alias("a" if c == "id" else f"l_{c}") for c in p.columns])
     right = p.select(*[F.col(c).alias("b" if c == "id" else f"r_{c}") for c in p.columns])
     both = pairs.join(left, "a").join(right, "b")
     empty = (F.col("l_form") == "") | (F.col("r_form") == "")
-    rows = both.withColumn("title", sequence_ratio(F.when(empty, F.col("l_plain")).otherwise(F.col("l_form")), F.when(empty, F.col("r_plain")).otherwise(F.col("r_form"))))
-    title = F.col("title")
-    items, steps = X.jaccard(F.col("l_items"), F.col("r_items")), X.jaccard(F.col("l_steps"), F.col("r_steps"))
-    simhash, image = X.hamming_similarity(F.col("l_simhash"), F.col("r_simhash")), X.hamming_similarity(F.col("l_image"), F.col("r_image"))
     author = (F.col("l_author") != "") & (F.col("l_author") == F.col("r_author"))
-    signals: list[tuple[Column, float]] = [(title, WEIGHTS["title"]), (items, WEIGHTS["ingredients"]), (steps, WEIGHTS["instructions"]), (simhash, WEIGHTS["simhash"]), (F.when(author, 1.0), WEIGHTS["author"]), (image, WEIGHTS["image"])]
-    total = sum((F.when(v.isNotNull(), F.lit(w)).otherwise(F.lit(0.0)) for v, w in signals), F.lit(0.0))
-    score = sum((F.coalesce(v, F.lit(0.0)) * w for v, w in signals), F.lit(0.0)) / total
-    picture, hashed = F.coalesce(image >= 0.90, F.lit(False)), F.coalesce(simhash >= 0.88, F.lit(False))
-    strong = F.when(items.isNotNull(), ((title >= 0.88) & (items >= 0.62)) | ((title >= 0.94) & picture)).otherwise((title >= 0.97) & (author | picture | hashed))
-    same = (F.coalesce("l_url", F.lit("")) != "") & F.col("l_url").eqNullSafe(F.col("r_url"))
-    return rows.select("a", "b", F.when(same, 1.0).when(strong, score).otherwise(F.least(score, F.lit(THRESHOLD - 0.01))).alias("score"))
+    address = F.coalesce((F.col("l_image_url") != "") & (F.col("l_image_url") == F.col("r_image_url")), F.lit(False))
+    same = F.coalesce((F.coalesce("l_url", F.lit("")) != "") & F.col("l_url").eqNullSafe(F.col("r_url")), F.lit(False))
+    rows = both.select(
+        "a", "b", F.when(empty, F.col("l_plain")).otherwise(F.col("l_form")).alias("x"), F.when(empty, F.col("r_plain")).otherwise(F.col("r_form")).alias("y"), author.alias("author"), address.alias("address"), same.alias("same"),
+        X.jaccard(F.col("l_items"), F.col("r_items")).alias("items"), X.jaccard(F.col("l_steps"), F.col("r_steps")).alias("steps"),
+        X.hamming_similarity(F.col("l_simhash"), F.col("r_simhash")).alias("simhash"), X.hamming_similarity(F.col("l_image"), F.col("r_image")).alias("image"),
+    )
+
+    def scored(title: Column) -> Column:
+        signals: list[tuple[Column, float]] = [
+            (title, WEIGHTS["title"]), (F.col("items"), WEIGHTS["ingredients"]), (F.col("steps"), WEIGHTS["instructions"]), (F.col("simhash"), WEIGHTS["simhash"]), (F.when(F.col("author"), 1.0), WEIGHTS["author"]),
+            (F.col("image"), WEIGHTS["image"]), (F.when(F.col("image").isNull() & F.col("address"), 1.0), WEIGHTS["image_url"]),
+        ]
+        total = sum((F.when(v.isNotNull(), F.lit(w)).otherwise(F.lit(0.0)) for v, w in signals), F.lit(0.0))
+        score = sum((F.coalesce(v, F.lit(0.0)) * w for v, w in signals), F.lit(0.0)) / total
+        picture, hashed = F.coalesce(F.col("image") >= STRONG["image"], F.lit(False)), F.coalesce(F.col("simhash") >= STRONG["simhash"], F.lit(False))
+        alike = ((title >= STRONG["title"]) & (F.col("items") >= STRONG["ingredients"])) | ((title >= STRONG["title_with_image"]) & picture)
+        strong = F.when(F.col("items").isNotNull(), alike).otherwise((title >= STRONG["title_alone"]) & (F.col("author") | F.col("address") | picture | hashed))
+        return F.when(F.col("same"), 1.0).when(strong, score).otherwise(F.least(score, F.lit(THRESHOLD - 0.01)))
+
+    if least is not None:
+        lengths = F.length("x") + F.length("y")
+        best = F.when(lengths == 0, 1.0).otherwise(2 * F.least(F.length("x"), F.length("y")) / lengths)
+        rows = rows.filter(scored(best) >= least - 1e-9)
+    # a title is compared once per pair of spellings
+    titles = rows.filter("not same").select("x", "y").distinct().withColumn("title", sequence_ratio("x", "y"))
+    out = rows.join(titles, ["x", "y"], "left").select("a", "b", scored(F.coalesce("title", F.lit(1.0))).alias("score"))
+    return out if least is None else out.filter(F.col("score") >= least)
 
 
 def duplicate_groups(records: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(group_id, id, representative, confidence, members): records connected by pairs at or above the threshold.
 
-    The representative has the most ratings, then the smallest id. group_id hashes the sorted member ids; a group's
-    confidence is the best of its pairs. Empty tables give no rows; records without a partner are left out.
+    The representative has the most ratings, then the highest confidence, then the smallest id. group_id is a hash of
+    the member ids that does not depend on their order and needs no list of them; a group's confidence is the best of
+    its pairs. Empty tables give no rows; records without a partner are left out.
     """
     p = checkpointed(prepared(records))
-    links = checkpointed(similarity(blocked_pairs(block_keys(p)), p).filter(F.col("score") >= threshold))
-    nodes = connected_components(links)
-    placed = checkpointed(nodes.join(p.select(F.col("id").alias("node"), "n"), "node"))
+    links = checkpointed(similarity(duplicate_candidates(p), p, threshold))
+    nodes = checkpointed(connected_components(links))
+    placed = nodes.join(p.select(F.col("id").alias("node"), "n", "confidence"), "node")
     best = links.join(nodes, links["a"] == nodes["node"]).groupBy("component").agg(F.max("score").alias("confidence"))
+    order = F.struct(F.coalesce("n", F.lit(0)), F.coalesce("confidence", F.lit(0.0)), -F.col("node"))
     groups = placed.groupBy("component").agg(
-        F.max_by("node", F.struct(F.coalesce("n", F.lit(0)), -F.col("node"))).alias("representative"),
-        F.substring(F.sha2(F.array_join(F.array_sort(F.collect_list(F.col("node").cast("string"))), "|"), 256), 1, 16).alias("group_id"), F.count(F.lit(1)).alias("members"),
-    )
-    return placed.join(groups, "component").join(best, "component").select("group_id", F.col("node").alias("id"), "representative", "confidence", "members")
+        F.max_by("node", order).alias("representative"), F.lower(F.lpad(F.hex(F.xxhash64(F.bit_xor(F.xxhash64("node")), F.count(F.lit(1)))), 16, "0")).alias("group_id"), F.count(F.lit(1)).alias("members")
+    )
+    return placed.select("component", "node").join(groups, "component").join(best, "component").select("group_id", F.col("node").alias("id"), "representative", "confidence", "members")
+
+
+def pair_benchmark(pairs: DataFrame, p: DataFrame) -> DataFrame:
+    """(pair_id, expected, kind, similarity) of labelled pairs (pair_id, a, b, expected, kind) of prepared records."""
+    scores = similarity(pairs.select("a", "b").distinct(), p)
+    return pairs.join(scores, ["a", "b"]).select("pair_id", "expected", "kind", F.col("score").alias("similarity"))
 
 
 def label_queue(records: DataFrame, labelled: DataFrame, low: float = 0.72, high: float = 0.92, limit: int = 250) -> DataFrame:

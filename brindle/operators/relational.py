@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brindle.session import checkpointed
+
 
 def merge_by_key(base: DataFrame, key: str, others: dict[str, DataFrame]) -> DataFrame:
     """Left joins of one-row-per-key tables; columns that the base has already get the other's name as a prefix."""
@@ -31,6 +33,17 @@ def numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
     return within.join(F.broadcast(before.select("_p", "_before")), "_p").withColumn("nth", F.col("_before") + F.col("_k")).drop("_p", "_i", "_k", "_before")
 
 
+def numbered_within(rows: DataFrame, keys: list[str], order: list[Column], name: str = "nth") -> DataFrame:
+    """Add a number from 1 per group of keys without a task that holds a group: rows are range partitioned by keys and
+    order and written, and positions count on from the sizes of the partitions before (one row per key and partition
+    come to the driver's broadcast, at most the sum of both). order must be total within a group."""
+    sort = [*[F.col(k) for k in keys], *order]
+    placed = checkpointed(rows.repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("_i", F.monotonically_increasing_id())).withColumn("_p", F.shiftright("_i", 33))
+    sizes = placed.groupBy(*keys, "_p").agg(F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_first"))
+    before = sizes.select(*keys, "_p", "_first", (F.sum("_c").over(Window.partitionBy(*keys).orderBy("_p")) - F.col("_c")).alias("_before"))
+    return placed.join(F.broadcast(before), [*keys, "_p"]).withColumn(name, F.col("_before") + F.col("_i") - F.col("_first") + 1).drop("_i", "_p", "_first", "_before")
+
+
 def pages(rows: DataFrame, order: list[Column], size: int) -> DataFrame:
     """Rows with nth and page, fixed pages of size rows in a global order."""
     return numbered(rows, order).withColumn("page", F.ceil(F.col("nth") / size))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+import hashlib
+from dataclasses import asdict, dataclass, replace
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from brindle.operators.relational import numbered_within
 
 #: The least share of the theoretical uncertainty that a ready bucket's history may leave.
 EMPIRICAL_FLOOR = 0.25
@@ -36,6 +38,17 @@ def robustness_grid(active: Params = Params()) -> list[Params]:
     return [Params(i + 1, volume_multiplier=m, bias_cap=b, evidence_scale=e, uncertainty_cap=c) for i, (b, e, m, c) in enumerate(points)]
 
 
+def configuration_grid(values: dict[str, list[float]], active: Params = Params(), most: int = 96) -> list[Params]:
+    """All combinations of the listed values around the active point, which comes first. Of more than most points an
+    evenly strided sample in the order of their hashes is kept, the same for the same lists."""
+    points = {replace(active, **dict(zip(values, combination, strict=True))): None for combination in product(*values.values())}
+    others = [p for p in points if p != active]
+    if len(others) >= most:
+        others.sort(key=lambda p: hashlib.sha256(repr(p).encode()).hexdigest())
+        others = others[:: max(1, len(others) // (most - 1))][: most - 1]
+    return [replace(p, scenario=i) for i, p in enumerate([active, *others])]
+
+
 def posterior(rating: Column, n: Column, prior: Column, strength: Column) -> Column:
     m = F.greatest(F.lit(1e-9), strength)
     k = F.greatest(F.lit(0), n)
@@ -101,29 +114,44 @@ def grid_frame(spark: SparkSession, grid: list[Params]) -> DataFrame:
     return spark.createDataFrame([asdict(p) for p in grid], ", ".join(f"{k} {'int' if k == 'scenario' else 'double'}" for k in asdict(grid[0])))
 
 
-def score_items(items: DataFrame, grid: list[Params] | None = None, calibration: DataFrame | None = None) -> DataFrame:
+def _beside(rows: DataFrame, facts: DataFrame, by: list[str]) -> DataFrame:
+    """Facts of a handful of groups (one row without by) beside every row."""
+    return rows.join(F.broadcast(facts), by) if by else rows.crossJoin(F.broadcast(facts))
+
+
+def score_items(items: DataFrame, grid: list[Params] | None = None, calibration: DataFrame | None = None, by: list[str] | None = None) -> DataFrame:
     """Scores of all items under every parameter set of a grid.
 
-    items: (id, source, rating, n, confidence, categories, histogram), one row per id. Prior, baselines, expected
-    ratings and residuals don't depend on the scenario, so they are computed once; only the last projection meets
-    the grid, whose size is fixed by its list. calibration: (bucket, penalty, ready), one row per volume bucket, as
+    items: (id, source, rating, n, confidence, categories, histogram), one row per id, or per id and each of the by
+    columns (a handful of cutoffs), whose groups are scored apart. Raw sums are made once; category baselines, expected
+    ratings and residuals carry one value per category pooling of the grid in an array, volumes one per quantile, and
+    only the last projection meets the grid, whose size is fixed by its list. calibration: (bucket, penalty, ready), one row per volume bucket, as
     timeseries.calibration gives it. The uncertainty is that of the histogram; without one, the penalty of the
     item's bucket where that is ready, but at least EMPIRICAL_FLOOR of the theoretical one; else the theoretical one.
     Nulls: a null confidence is 0.60, null or empty categories mean the prior, a null or empty histogram is none, a
-    null penalty or ready is not ready. An empty table gives no rows.
+    null source is one source, a null penalty or ready is not ready. An empty table gives no rows.
     """
-    grid = grid or [Params()]
-    expected = expected_ratings(items)
-    residual = source_residuals(expected).select("source", "shrunk")
-    quantile = items.agg(F.percentile("n", grid[0].volume_quantile).alias("volume"))
-    rows = expected.join(residual, "source").crossJoin(F.broadcast(quantile)).crossJoin(F.broadcast(grid_frame(items.sparkSession, grid)))
+    grid, by = grid or [Params()], by or []
+    poolings, quantiles = sorted({p.category_pooling for p in grid}), sorted({p.volume_quantile for p in grid})
+    weighted = with_weight(items.withColumn("source", F.coalesce("source", F.lit(""))))
+    facts = weighted.groupBy(*by).agg(weighted_mean(F.col("rating"), F.col("w")).alias("prior"), F.percentile("n", quantiles).alias("volumes"))
+    each = weighted.select(*by, "id", "rating", "w", F.explode(F.array_distinct("categories")).alias("category"))
+    raw = each.groupBy(*by, "category").agg(F.count(F.lit(1)).alias("k"), weighted_mean(F.col("rating"), F.col("w")).alias("raw"))
+    k = F.col("k")
+    base = _beside(raw, facts, by).select(*by, "category", *[(k / (k + p) * F.col("raw") + p / (k + p) * F.col("prior")).alias(f"_b{i}") for i, p in enumerate(poolings)])
+    mean = each.select(*by, "id", "category").join(base, [*by, "category"]).groupBy(*by, "id").agg(*[F.avg(f"_b{i}").alias(f"_m{i}") for i in range(len(poolings))])
+    expected = _beside(weighted.join(mean, [*by, "id"], "left"), facts, by).withColumn("expecteds", F.array(*[F.coalesce(f"_m{i}", "prior") for i in range(len(poolings))]))
+    residual = expected.groupBy(*by, "source").agg(F.count(F.lit(1)).alias("k"), F.array(*[weighted_mean(F.col("rating") - F.col("expecteds")[i], F.col("w")) for i in range(len(poolings))]).alias("rhos"))
+    points = grid_frame(items.sparkSession, grid).withColumn("_pc", F.array_position(F.lit(poolings), F.col("category_pooling")).cast("int")).withColumn("_q", F.array_position(F.lit(quantiles), F.col("volume_quantile")).cast("int"))
+    rows = expected.join(residual, [*by, "source"]).crossJoin(F.broadcast(points))
     if calibration is None:
         rows = rows.withColumn("empirical", F.lit(None).cast("double"))
     else:
         history = calibration.filter("ready").select(F.col("bucket").alias("volume_bucket"), F.col("penalty").alias("empirical"))
         rows = rows.withColumn("volume_bucket", volume_bucket(F.col("n"))).join(F.broadcast(history), "volume_bucket", "left")
-    m = F.greatest(F.lit(1.0), F.greatest("minimum_volume_prior", "volume") * F.col("volume_multiplier"))
-    bias = F.greatest(-F.col("bias_cap"), F.least("bias_cap", "shrunk"))
+    m = F.greatest(F.lit(1.0), F.greatest("minimum_volume_prior", F.element_at("volumes", F.col("_q"))) * F.col("volume_multiplier"))
+    shrunk = k / (k + F.col("source_pooling")) * F.element_at("rhos", F.col("_pc"))
+    bias = F.greatest(-F.col("bias_cap"), F.least(F.col("bias_cap"), shrunk))
     adjusted = F.greatest(F.lit(0.0), F.least(F.lit(5.0), F.col("rating") - F.col("bias")))
     count = F.greatest(F.lit(1.0), F.col("n") + F.col("m"))
     spread = histogram_variance(F.col("histogram"))
@@ -132,27 +160,27 @@ def score_items(items: DataFrame, grid: list[Params] | None = None, calibration:
     uncertainty = F.least("uncertainty_cap", F.coalesce(1.96 * F.sqrt(F.col("spread") / count), blended, theory))
     evidence = F.greatest(F.lit(0.0), F.col("evidence_floor") - F.coalesce("confidence", F.lit(0.60))) * F.col("evidence_scale")
     return (
-        rows.withColumns({"m": m, "bias": bias, "spread": spread})
+        rows.withColumns({"m": m, "bias": bias, "spread": spread, "expected": F.element_at("expecteds", F.col("_pc"))})
         .withColumns({"adjusted": adjusted, "uncertainty": uncertainty, "evidence": evidence})
         .withColumn("posterior", posterior(F.col("adjusted"), F.col("n"), F.col("prior"), F.col("m")))
         .withColumn("score", F.greatest(F.lit(0.0), F.col("posterior") - F.col("uncertainty") - F.col("evidence")))
-        .select("scenario", "id", "source", "rating", "n", "prior", "expected", "m", "bias", "adjusted", "posterior", "uncertainty", "evidence", "score", F.col("spread").isNotNull().alias("from_histogram"))
+        .select(*by, "scenario", "id", "source", "rating", "n", "prior", "expected", "m", "bias", "adjusted", "posterior", "uncertainty", "evidence", "score", F.col("spread").isNotNull().alias("from_histogram"))
     )
 
 
-def ranked(scores: DataFrame, digits: int = 9) -> DataFrame:
-    """Add rank within the scenario: score (to digits), then count, then id.
+def _rank_order(digits: int) -> list[Column]:
+    return [F.desc(F.round("score", digits)), F.desc("n"), F.asc("id")]
 
-    A global row number over one scenario is one task by its nature; rank_top keeps the cheap form for top lists.
-    """
-    order = Window.partitionBy("scenario").orderBy(F.desc(F.round("score", digits)), F.desc("n"), "id")
-    return scores.withColumn("rank", F.row_number().over(order))
+
+def ranked(scores: DataFrame, digits: int = 9) -> DataFrame:
+    """Add rank within the scenario: score (to digits), then count, then id; no task holds a scenario."""
+    return numbered_within(scores, ["scenario"], _rank_order(digits), "rank")
 
 
 def rank_top(scores: DataFrame, k: int, digits: int = 9) -> DataFrame:
     """The k best of one scenario with their rank, by a distributed top-k; only k rows are numbered."""
-    top = scores.orderBy(F.desc(F.round("score", digits)), F.desc("n"), "id").limit(k)
-    return ranked(top, digits)
+    top = scores.orderBy(*_rank_order(digits)).limit(k)
+    return top.withColumn("rank", F.row_number().over(Window.partitionBy("scenario").orderBy(*_rank_order(digits))))
 
 
 def rank_robustness(base: DataFrame, simulated: DataFrame) -> DataFrame:

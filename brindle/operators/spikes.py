@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import io
+import math
+import random
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brindle.functions.time import parse_micros
@@ -28,41 +31,40 @@ class SpikeRules:
     side: int = 7
     #: Longest departure that still is a spike.
     longest: int = 3
-    #: Departures count from this many robust standard deviations of the source on.
-    sigmas: float = 5.0
+    #: Smaller departures and shorter runs are none, however quiet their source is.
     log_count_floor: float = 0.12
     count_floor: float = 3.0
     rating_floor: float = 0.2
-    #: A run is stuck from this length on, and from this many times the source's 98th percentile of run lengths.
     stuck_least: int = 6
-    stuck_times: float = 4.0
-    #: Isolation forest: trees, rows per tree, and the bound on the rows of a source from which trees draw.
-    trees: int = 40
+    #: Isolation forest: trees of each feature, rows per tree, and the bound on the rows of a source from which trees draw.
+    trees: int = 150
     tree_rows: int = 128
     fit_rows: int = 4096
-    #: Readings with a lower anomaly score are not looked at again (half of all readings score about 0.3).
-    least_score: float = 0.33
+    #: Relative scores: 0 is the usual reading of the source, 1 one beyond all its readings. A level or run is unusual
+    #: from this score on, ...
+    cut: float = 0.76
+    #: ... and a departure needs a difference or seasonal score of so much besides.
+    support: float = 0.4
     #: A key with more readings is cut by position in time, with as many readings before and after a part as halo.
     hot_rows: int = 20_000
-    #: Up to so many sources their statistics are broadcast (some 60 bytes each); more are joined.
-    broadcast_sources: int = 20_000
     halo: int = 64
+    #: Sources whose forests are broadcast at once (some 20 KB each); more take further passes over the features.
+    block_sources: int = 2_000
 
 
-FEATURES = ["level_count", "level_rating", "step_count", "step_rating", "season_count", "run_size"]
+FEATURES = ["level_count", "level_rating", "step_count", "step_rating", "season_count", "season_rating", "run_size"]
 #: What counts as a small difference of each feature.
-FEATURE_UNITS = [0.12, 0.2, 0.25, 0.2, 1.0, 3.0]
+FEATURE_UNITS = [0.12, 0.2, 0.12, 0.2, 0.12, 0.2, 3.0]
 _OUT = pa.schema(
-    [("key", pa.string()), ("t", pa.int64()), ("source", pa.string()), ("impossible", pa.bool_()), ("gap_count", pa.float64()), ("noise_count", pa.float64()), ("noise_rating", pa.float64()), ("run_length", pa.int64()), ("run_at", pa.int64())]
-    + [(f, pa.float64()) for f in FEATURES]
+    [("key", pa.string()), ("t", pa.int64()), ("source", pa.string()), ("impossible", pa.bool_()), ("gap_count", pa.float64()), ("run_length", pa.int64()), ("run_at", pa.int64())] + [(f, pa.float64()) for f in FEATURES]
 )
 #: Where a reading's run meets an end of its part of a hot series (1 first, 2 last, 3 both), to be joined across cuts.
 _SERIES = _OUT.append(pa.field("part", pa.int64())).append(pa.field("edge", pa.int64())).append(pa.field("run_value", pa.float64()))
-_OUT_DDL = "key string, t bigint, source string, impossible boolean, gap_count double, noise_count double, noise_rating double, run_length bigint, run_at bigint, " + ", ".join(f"{f} double" for f in FEATURES)
+_OUT_DDL = "key string, t bigint, source string, impossible boolean, gap_count double, run_length bigint, run_at bigint, " + ", ".join(f"{f} double" for f in FEATURES)
 
 
-def _medians(values: np.ndarray, start: np.ndarray, end: np.ndarray, side: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signed departure of each value from both its sides, and its distance from the median of both.
+def _departures(values: np.ndarray, start: np.ndarray, end: np.ndarray, side: int, longest: int) -> np.ndarray:
+    """Signed departure of each value from both its sides.
 
     A departure is the smaller of the distances from the median before and the median after, where both have the
     same sign, else 0: a lasting rise equals its after side and a trend lies between its sides. A side with fewer
@@ -79,7 +81,6 @@ def _medians(values: np.ndarray, start: np.ndarray, end: np.ndarray, side: int,
         around[1, k - 1, ok] = values[after[ok]]
     with np.errstate(all="ignore"):
         middle = {(s, skip): np.nanmedian(around[s, skip : skip + side], axis=0) for s in (0, 1) for skip in range(longest)}
-        both = np.nanmedian(np.concatenate([around[0, :side], around[1, :side]]), axis=0)
         few = [np.sum(~np.isnan(around[s, :side]), axis=0) < 5 for s in (0, 1)]
         best = np.zeros(n)
         for a in range(longest):
@@ -88,7 +89,7 @@ def _medians(values: np.ndarray, start: np.ndarray, end: np.ndarray, side: int,
                 size = np.where((np.sign(x) == np.sign(y)), np.minimum(np.abs(x), np.abs(y)), 0.0)
                 size = np.where(np.isnan(size) | ((a > 0) & ~few[0]) | ((b > 0) & ~few[1]), 0.0, size)
                 best = np.where(size > np.abs(best), np.sign(x) * size, best)
-    return best, values - both
+    return best
 
 
 def _series_features(block: pd.DataFrame, rules: SpikeRules) -> pd.DataFrame:
@@ -119,9 +120,9 @@ def _series_features(block: pd.DataFrame, rules: SpikeRules) -> pd.DataFrame:
 
     with warnings.catch_warnings():
         warnings.simplefilter("ignore", RuntimeWarning)  # all-null sides
-        level_c, noise_c = _medians(log, start, end, rules.side, rules.longest)
-        level_r, noise_r = _medians(rating, start, end, rules.side, rules.longest)
-        gap, _ = _medians(count, start, end, rules.side, rules.longest)
+        level_c, level_r, gap = (_departures(x, start, end, rules.side, rules.longest) for x in (log, rating, count))
+        # a reading of a short spike differs much from one of the last few
+        step_c, step_r = (np.nanmax([np.abs(x - past(x, k)) for k in range(1, rules.longest + 1)], axis=0) if n else x for x in (log, rating))
     # runs of equal counts, nulls left out; of a part's own readings only, as runs are joined across cuts later
     there = np.flatnonzero(~np.isnan(count) & ~block["halo"].to_numpy(bool))
     run_length, run_at, edge = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -140,9 +141,9 @@ def _series_features(block: pd.DataFrame, rules: SpikeRules) -> pd.DataFrame:
     out = pd.DataFrame(
         {
             "key": key, "t": block["t"].to_numpy(), "source": block["source"].to_numpy(), "impossible": bad_r | bad_c,
-            "gap_count": zero(gap), "noise_count": np.abs(noise_c), "noise_rating": np.abs(noise_r), "run_length": run_length,
-            "level_count": zero(level_c), "level_rating": zero(level_r), "step_count": zero(log - past(log, 1)), "step_rating": zero(rating - past(rating, 1)),
-            "run_at": run_at, "season_count": zero(log - past(log, 7)), "run_size": run_length.astype(float),
+            "gap_count": zero(gap), "run_length": run_length, "run_at": run_at,
+            "level_count": zero(level_c), "level_rating": zero(level_r), "step_count": zero(step_c), "step_rating": zero(step_r),
+            "season_count": zero(log - past(log, 7)), "season_rating": zero(rating - past(rating, 7)), "run_size": run_length.astype(float),
             "part": part, "edge": edge, "run_value": count,
         }
     )
@@ -229,123 +230,167 @@ def _depth(n: np.ndarray | float) -> np.ndarray:
         return np.where(n > 2, 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n, np.where(n == 2, 1.0, 0.0))
 
 
-def fit_forest(x: np.ndarray, trees: int, rows: int, seed: int) -> dict[str, np.ndarray]:
-    """An isolation forest as flat arrays, one row of nodes per tree. Rows are sorted first, so their order does not
-    matter. All features are sizes, so cuts fall between a node's lowest value and twice its spread (at least one
-    unit of the feature): what lies beyond all the rows of a tree is cut off early, not kept with the highest."""
-    rng = np.random.default_rng(seed)
-    x = x[np.lexsort(x.T[::-1])]
-    rows = min(rows, len(x))
-    height = max(1, int(np.ceil(np.log2(max(2, rows)))))
-    size = 2 ** (height + 1) - 1
-    feature = np.full((trees, size), -1, np.int8)
-    cut = np.zeros((trees, size))
-    add = np.zeros((trees, size))
-    for tree in range(trees):
-        todo = [(0, 0, x[rng.choice(len(x), rows, replace=False)])]
+def fit_trees(values: np.ndarray, unit: float, trees: int, rows: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The isolation trees of one feature as a step function: (bounds, scores), scores one longer; a value has the score
+    after the last bound below it. Scores are those of the mean depth over all trees, to three decimals.
+
+    Values are sorted first, so their order does not matter. All features are sizes, so cuts fall between a node's
+    lowest value and twice its spread (at least one unit of the feature): what lies beyond all the rows of a tree is cut
+    off early, not kept with the highest. No values: everything scores 0.
+    """
+    pool = np.sort(values).tolist()
+    if not pool:
+        return np.zeros(0), np.zeros(1)
+    rng = random.Random(seed)
+    rows = min(rows, len(pool))
+    height = max(1, math.ceil(math.log2(max(2, rows))))
+    leaf = [float(_depth(k)) for k in range(rows + 1)]
+    bounds: list[float] = []
+    steps: list[float] = []
+    base = 0.0
+    for _ in range(trees):
+        sample = [pool[k] for k in sorted(rng.sample(range(len(pool)), rows))]
+        before = None
+        todo = [(0, 0, rows, 0.0)]  # depth, rows from and to, and the bound on the left; leaves come in order
         while todo:
-            node, deep, sub = todo.pop()
-            if deep == height or len(sub) <= 1:
-                add[tree, node] = deep + _depth(len(sub))
+            deep, lo, hi, left = todo.pop()
+            if deep == height or hi - lo <= 1:
+                depth = deep + leaf[hi - lo]
+                if before is None:
+                    base += depth
+                else:
+                    bounds.append(left)
+                    steps.append(depth - before)
+                before = depth
                 continue
-            f = rng.integers(x.shape[1])
-            low, high = sub[:, f].min(), sub[:, f].max()
-            c = rng.uniform(low, high + max(high - low, FEATURE_UNITS[f]))
-            feature[tree, node], cut[tree, node] = f, c
-            todo += [(2 * node + 1, deep + 1, sub[sub[:, f] <= c]), (2 * node + 2, deep + 1, sub[sub[:, f] > c])]
-    return {"feature": feature, "cut": cut, "add": add, "norm": np.array(float(max(_depth(rows), 1e-9))), "height": np.array(height)}
-
-
-def score_forest(forest: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+            low, high = sample[lo], sample[hi - 1]
+            cut = rng.uniform(low, high + max(high - low, unit))
+            middle = bisect_right(sample, cut, lo, hi)
+            todo.append((deep + 1, middle, hi, cut))
+            todo.append((deep + 1, lo, middle, left))
+    order = np.argsort(np.array(bounds), kind="stable")
+    depth = (base + np.concatenate([[0.0], np.cumsum(np.array(steps)[order])])) / trees
+    score = np.round(2.0 ** (-depth / max(leaf[rows], 1e-9)), 3)
+    turns = np.flatnonzero(np.diff(score))
+    return np.array(bounds)[order][turns], np.concatenate([score[:1], score[turns + 1]])
+
+
+def score_trees(bounds: np.ndarray, scores: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Anomaly scores in (0, 1); higher is easier to isolate."""
-    total = np.zeros(len(x))
-    at_row = np.arange(len(x))
-    for feature, cut, add in zip(forest["feature"], forest["cut"], forest["add"], strict=True):
-        node = np.zeros(len(x), np.int64)
-        for _ in range(int(forest["height"])):
-            f = feature[node]
-            inner = f >= 0
-            right = x[at_row, np.where(inner, f, 0)] > cut[node]
-            node = np.where(inner, 2 * node + 1 + right, node)
-        total += add[node]
-    return 2.0 ** (-total / len(forest["add"]) / float(forest["norm"]))
+    return scores[np.searchsorted(bounds, values, "left")]
 
 
 def _fit_source(rules: SpikeRules):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = io.BytesIO()
-        np.savez_compressed(out, **fit_forest(pdf[FEATURES].to_numpy(float), rules.trees, rules.tree_rows, 7))
-        return pd.DataFrame({"source": [pdf["source"].iloc[0]], "forest": [out.getvalue()]})
+        """Per feature the trees' scores, told from the score of the source's usual value (0) to that beyond all (1)."""
+        out = {"source": [pdf["source"].iloc[0]]}
+        for k, (feature, unit) in enumerate(zip(FEATURES, FEATURE_UNITS, strict=True)):
+            rows = pdf[feature][pdf["run_at"] == 1] if feature == "run_size" else pdf[feature]
+            bounds, scores = fit_trees(rows.to_numpy(float), unit, rules.trees, rules.tree_rows, 7 + k)
+            usual = score_trees(bounds, scores, pdf[f"usual_{feature}"].iloc[:1].to_numpy(float))[0]
+            spread = scores[-1] - usual
+            out[f"b_{feature}"] = [bounds.tolist()]
+            out[f"s_{feature}"] = [((scores - usual) / spread if spread > 0 else np.zeros(len(scores))).tolist()]
+        return pd.DataFrame(out)
 
     return fit
 
 
-def _score_group(readings: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-    kept = readings.drop(columns=["salt"])
-    if not len(kept):
-        return kept.assign(score=pd.Series([], dtype=float))
-    if not len(model):
-        return kept.assign(score=1.0)
-    forest = dict(np.load(io.BytesIO(model["forest"].iloc[0])))
-    return kept.assign(score=score_forest(forest, kept[FEATURES].to_numpy(float)))
+_FOREST_DDL = "source string, " + ", ".join(f"b_{f} array<double>, s_{f} array<double>" for f in FEATURES)
+SCORES = [f"score_{f}" for f in FEATURES]
+
+
+def _score_batches(forests):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = forests.value
+        at = [_OUT.get_field_index(f) for f in FEATURES]
+        for batch in batches:
+            named = batch.column(_OUT.get_field_index("source")).dictionary_encode()
+            codes = named.indices.to_numpy()
+            order = np.argsort(codes, kind="stable")
+            ends = np.searchsorted(codes[order], np.arange(len(named.dictionary) + 1))
+            values = [batch.column(k).to_numpy() for k in at]
+            scores = np.zeros((len(FEATURES), len(codes)))
+            for code, source in enumerate(named.dictionary.to_pylist()):
+                rows = order[ends[code] : ends[code + 1]]
+                for k, (bounds, levels) in enumerate(known[source]):
+                    scores[k, rows] = score_trees(bounds, levels, values[k][rows])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x) for x in scores)], names=[*batch.schema.names, *SCORES])
+
+    return run
+
+
+def scored(features: DataFrame, forests: DataFrame, rules: SpikeRules) -> DataFrame:
+    """Features with one relative score each, by the forest of the reading's source. Forests of at most
+    rules.block_sources sources at a time are broadcast, so readings are scored where they lie."""
+    context = features.sparkSession.sparkContext
+    blocks = max(1, math.ceil(forests.count() / rules.block_sources))
+    ddl = _OUT_DDL + ", " + ", ".join(f"{c} double" for c in SCORES)
+    out = []
+    for b in range(blocks):
+        mine = F.pmod(F.xxhash64("source"), F.lit(blocks)) == b
+        rows = forests.filter(mine).toLocalIterator()
+        known = {r["source"]: [(np.array(r[f"b_{f}"]), np.array(r[f"s_{f}"])) for f in FEATURES] for r in rows}
+        out.append((features.filter(mine) if blocks > 1 else features).select(_OUT.names).mapInArrow(_score_batches(context.broadcast(known)), ddl))
+    return reduce(DataFrame.unionByName, out)
 
 
 # ---- the operator ------------------------------------------------------------------------------------------------
 
 
+def source_forests(features: DataFrame, rules: SpikeRules) -> DataFrame:
+    """One forest per source. Trees draw from about fit_rows of its readings at most; what is usual covers all."""
+    usual = [F.percentile_approx(F.when(F.col("run_at") == 1, F.col(f)) if f == "run_size" else F.col(f), 0.5).alias(f"usual_{f}") for f in FEATURES]
+    normal = features.groupBy("source").agg(F.count(F.lit(1)).alias("n"), *usual)
+    normal = checkpointed(normal.fillna(0.0, [f"usual_{f}" for f in FEATURES]))
+    few = normal.count() <= rules.block_sources
+    luck = F.pmod(F.xxhash64("key", "t"), F.lit(1_000_003)) / 1_000_003.0
+    drawn = features.select("key", "t", "source", "run_at", *FEATURES).join(F.broadcast(normal) if few else normal, "source").filter(luck < F.lit(rules.fit_rows) / F.col("n")).drop("key", "t")
+    return checkpointed(drawn.groupBy("source").applyInPandas(_fit_source(rules), _FOREST_DDL))
+
+
 def reading_scores(df: DataFrame, key: str, source: str, timestamp: str, rating: str, count: str, rules: SpikeRules = SpikeRules()) -> DataFrame:
-    """One row per reading (key, instant) with its features, the forest's score and the source's normal behaviour."""
+    """One row per reading (key, instant) with its features and the forest's relative score of each."""
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(source), F.lit("")).alias("source"), parse_micros(F.col(timestamp)).alias("t"), F.nanvl(F.col(rating).cast("double"), F.lit(None)).alias("r"), F.col(count).cast("double").alias("c"))
     readings = rows.filter("key is not null and t is not null").groupBy("key", "t").agg(
         F.min("source").alias("source"), F.min("r").alias("rating_min"), F.max("r").alias("rating_max"), F.min("c").alias("count_min"), F.max("c").alias("count_max")
     )
     series = split_hot(readings, "key", "t", rules.hot_rows, rules.halo).repartition("key", "part").sortWithinPartitions("key", "part", "t")
     features = _joined_runs(checkpointed(series.mapInArrow(_feature_batches(rules), _OUT_DDL + ", part bigint, edge bigint, run_value double")))  # read three times below
-    normal = checkpointed(features.groupBy("source").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("noise_count", 0.5).alias("mad_count"),
-        F.percentile_approx("noise_rating", 0.5).alias("mad_rating"),
-        F.percentile_approx(F.when(F.col("run_at") == 1, F.col("run_length")), 0.98).alias("run_98"),
-    ))
-    # beside each reading what is normal for its source: without a shuffle by source where there are few sources
-    few = normal.count() <= rules.broadcast_sources
-    known = features.join(F.broadcast(normal) if few else normal, "source")
-    luck = F.pmod(F.xxhash64("key", "t"), F.lit(1_000_003)) / 1_000_003.0
-    models = known.filter(luck < F.lit(rules.fit_rows) / F.col("n")).select("source", *FEATURES).groupBy("source").applyInPandas(_fit_source(rules), "source string, forest binary")
-    share = F.ceil(F.col("n") / 50_000).cast("bigint")
-    salted = known.withColumn("salt", F.pmod(F.xxhash64("t", "key"), share))
-    each = models.join(normal.select("source", "n"), "source").select("source", "forest", F.explode(F.sequence(F.lit(0).cast("bigint"), share - 1)).alias("salt"))
-    ddl = _OUT_DDL + ", n bigint, mad_count double, mad_rating double, run_98 bigint, score double"
-    columns = [c.strip().split(" ")[0] for c in ddl.split(",")][:-1]
-    return salted.select(*columns, "salt").groupBy("source", "salt").cogroup(each.groupBy("source", "salt")).applyInPandas(_score_group, ddl)
+    return scored(features, source_forests(features, rules), rules)
 
 
 def implausible_readings(df: DataFrame, row_id: str, key: str, source: str, timestamp: str, rating: str, count: str, rules: SpikeRules = SpikeRules()) -> DataFrame:
     """Ids of rows whose reading cannot be true or does not fit how its source normally behaves.
 
     Cases: values beyond the physical limits (rating outside 0..5.05, a negative count or one of 1e8 and more);
-    departures of at most 3 readings from a level that holds before and after, far beyond what is usual for the
-    source (5 robust standard deviations, at least the floors of SpikeRules); runs of equal counts of at least 6
-    readings and 4 times the source's 98th percentile, but for the run's first reading. Lasting rises are none.
+    departures of at most 3 readings from a level that holds before and after, and runs of equal counts but for the
+    run's first reading, where the forest of the source finds them unusual. Lasting rises are none.
 
     Method: one isolation forest per source over level, difference, seasonal and run-length features scores every
-    reading; explicit limits are always cases; readings the forest finds easier to isolate than rules.least_score
-    are then held against the source's own scale. Trees are fitted on at most about fit_rows readings per source,
-    every other statistic covers all rows. Series are shuffled by (key, part) and sources by (source, salt), so a
-    key or a source may hold a third of all rows; parts are cut by position and see their true neighbours, and runs
-    are joined across cuts, so a cut changes no feature.
+    reading. Trees have one feature each, so a reading has a score per feature, told from the source's usual reading (0)
+    to one beyond all its readings (1): the cut (SpikeRules.cut) lies in each source's own range of scores. The level's
+    score decides on departures, with the difference or the season in support, the run length's on runs; explicit limits
+    are only the physical ones and the sizes below which nothing is a departure or a run. Trees are fitted on at most
+    about fit_rows readings per source, every other statistic covers all rows. Series are shuffled by (key, part), so a
+    key may hold a third of all rows; parts are cut by position and see their true neighbours, and runs are joined
+    across cuts, so a cut changes no feature. Forests are broadcast and readings scored where they lie, so a source may
+    hold any share of the rows.
 
     Defined cases: rows of one key and instant are one reading, all of whose rows are returned; rows without a
     key or a readable timestamp are judged by the physical limits only; null and NaN values are no departures;
     a null source is a source of its own; the first and last reading of a series never depart; empty tables give
     no rows; extra columns are ignored.
     """
-    scored = reading_scores(df, key, source, timestamp, rating, count, rules)
-    sigma = F.lit(rules.sigmas * 1.4826)
-    spike_c = (F.col("level_count") > F.greatest(F.lit(rules.log_count_floor), sigma * F.coalesce("mad_count", F.lit(0.0)))) & (F.col("gap_count") >= rules.count_floor)
-    spike_r = F.col("level_rating") > F.greatest(F.lit(rules.rating_floor), sigma * F.coalesce("mad_rating", F.lit(0.0)))
-    stuck = (F.col("run_at") > 1) & (F.col("run_length") >= F.greatest(F.lit(float(rules.stuck_least)), F.lit(rules.stuck_times) * F.coalesce("run_98", F.lit(1))))
-    cases = scored.filter(F.col("impossible") | ((F.col("score") >= rules.least_score) & (spike_c | spike_r | stuck))).select(F.col("key").alias("_k"), F.col("t").alias("_t"))
+    readings = reading_scores(df, key, source, timestamp, rating, count, rules)
+
+    def departs(field: str) -> Column:
+        return (F.col(f"score_level_{field}") >= rules.cut) & (F.greatest(f"score_step_{field}", f"score_season_{field}") >= rules.support)
+
+    spike_c = departs("count") & (F.col("level_count") > rules.log_count_floor) & (F.col("gap_count") >= rules.count_floor)
+    spike_r = departs("rating") & (F.col("level_rating") > rules.rating_floor)
+    stuck = (F.col("score_run_size") >= rules.cut) & (F.col("run_at") > 1) & (F.col("run_length") >= rules.stuck_least)
+    cases = readings.filter(F.col("impossible") | spike_c | spike_r | stuck).select(F.col("key").alias("_k"), F.col("t").alias("_t"))
     rows = df.select(F.col(row_id), F.col(key).alias("_key"), parse_micros(F.col(timestamp)).alias("_at"), F.col(rating).cast("double").alias("_r"), F.col(count).cast("double").alias("_c"))
     found = rows.join(cases, (F.col("_key") == F.col("_k")) & (F.col("_at") == F.col("_t")), "left_semi").select(row_id)
     limits = (F.col("_r") < rules.rating_low) | ((F.col("_r") > rules.rating_high) & ~F.isnan("_r")) | (F.col("_c") < 0) | (F.col("_c") >= rules.count_high)

@@ -111,18 +111,18 @@ def rank_history(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def as_of(readings: DataFrame, cutoffs: DataFrame) -> DataFrame:
-    """(cutoff, key, t, rating, n): the latest reading of each key at or before each cutoff.
+def as_of(readings: DataFrame, cutoffs: DataFrame, *fields: str) -> DataFrame:
+    """(cutoff, key, t, rating, n, fields): the latest reading of each key at or before each cutoff.
 
     cutoffs: (cutoff), a handful of instants. Readings are first reduced to the last one between two cutoffs (an
     aggregate that combines before the shuffle); only those meet the cutoffs.
     """
     marks = F.broadcast(cutoffs.agg(F.array_sort(F.collect_set("cutoff")).alias("marks")))
     slot = F.size(F.filter("marks", lambda c: c < F.col("t")))
-    last = readings.crossJoin(marks).withColumn("slot", slot).filter(F.col("slot") < F.size("marks")).groupBy("key", "slot", "marks").agg(F.max(F.struct("t", "rating", "n")).alias("r"))
+    last = readings.crossJoin(marks).withColumn("slot", slot).filter(F.col("slot") < F.size("marks")).groupBy("key", "slot", "marks").agg(F.max_by(F.struct("t", "rating", "n", *fields), "t").alias("r"))
     nxt = F.coalesce(F.lead("slot").over(Window.partitionBy("key").orderBy("slot")), F.size("marks"))
     filled = last.withColumn("until", nxt).select("key", "r", F.explode(F.slice("marks", F.col("slot") + 1, F.col("until") - F.col("slot"))).alias("cutoff"))
-    return filled.select("cutoff", "key", "r.t", "r.rating", "r.n")
+    return filled.select("cutoff", "key", "r.*")
 
 
 def nearest_after(readings: DataFrame, targets: DataFrame, tolerance_us: int, least_count: int) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["problems", "ranking", "history", "functions", "entities", "checks", "serving"]
+MODULES = ["problems", "ranking", "history", "functions", "entities", "checks", "serving", "catalog", "reports"]
 
 
 def load() -> None:

@@ -15,7 +15,7 @@ from brindle.operators.graph import connected_components
 from brindle.plans.functions import NORM, PAGE, STEM
 from brindle.plans.sql import COVERAGE, READINGS, RECIPES, SNAPSHOTS
 from brindle.registry import query
-from brindle.session import table
+from brindle.session import checkpointed, table
 
 _MEASURE = "\\b(?:cups?|tablespoons?|tbsp|teaspoons?|tsp|ounces?|oz|pounds?|lbs?|grams?|g|kg|ml|milliliters?|liters?|l|pinch|dash|cloves?)\\b"
 
@@ -43,9 +43,9 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both recipes of every labelled pair with the latest author, address and fingerprints of the reading log."""
     d = table(spark, sf_dir, "dedupe_pairs")
     sides = [d.select((F.col("pair_id") * 2 + i).alias("id"), F.col(f"{side}_recipe_id").alias("recipe_id"), f"{side}_recipe.*") for i, side in enumerate(("left", "right"))]
-    o = table(spark, sf_dir, "observations").select("recipe_id", parse_micros(F.col("timestamp")).alias("t"), "obs_id", normalize_url(F.coalesce(F.nullif(F.trim("canonical_url"), F.lit("")), "url")).alias("url"), "author", F.col("rating_count").alias("n"), F.col("instruction_simhash").alias("simhash"), F.col("image_perceptual_hash").alias("image"))
-    last = o.groupBy("recipe_id").agg(F.max_by(F.struct("url", "author", "n", "simhash", "image"), F.struct("t", "obs_id")).alias("o"))
-    return sides[0].unionByName(sides[1]).join(last, "recipe_id", "left").select("id", "recipe_id", "title", "ingredients", "instructions", "o.url", "o.author", "o.n", "o.simhash", "o.image")
+    o = table(spark, sf_dir, "observations").select("recipe_id", parse_micros(F.col("timestamp")).alias("t"), "obs_id", normalize_url(F.coalesce(F.nullif(F.trim("canonical_url"), F.lit("")), "url")).alias("url"), "author", F.col("rating_count").alias("n"), F.col("instruction_simhash").alias("simhash"), F.col("image_perceptual_hash").alias("image"), F.col("image_fingerprint").alias("image_url"), F.col("evidence_confidence").alias("confidence"))
+    last = o.groupBy("recipe_id").agg(F.max_by(F.struct("url", "author", "n", "simhash", "image", "image_url", "confidence"), F.struct("t", "obs_id")).alias("o"))
+    return sides[0].unionByName(sides[1]).join(last, "recipe_id", "left").select("id", "recipe_id", "title", "ingredients", "instructions", "o.*")
 
 
 @query("jaccard_pairs", f"WITH {PAIR_SQL} SELECT pair_id, expected, kind, round(similarity, 6) AS similarity FROM lab")
@@ -72,7 +72,7 @@ def pr_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(D.confusion(labelled(spark, sf_dir), spark.range(1).select(F.lit(0.5).alias("threshold")), ["kind"]))
 
 
-@query("label_queue", f"WITH {PAIR_SQL} SELECT pair_id, round(similarity, 6) AS similarity FROM lab ORDER BY abs(round(similarity, 6) - 0.80), round(similarity, 6) DESC, pair_id LIMIT 250")
+@query("label_queue")
 def label_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate pairs over all records that have no label yet, the most doubtful first."""
     d = table(spark, sf_dir, "dedupe_pairs").filter("duplicate is not null").select("left_recipe_id", "right_recipe_id")
@@ -84,6 +84,16 @@ def block_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.block_keys(D.prepared(records(spark, sf_dir)))
 
 
+@query("dedupe_benchmark")
+def dedupe_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision, recall and F1 of the weighted similarity over the labelled pairs, overall and by kind."""
+    p = checkpointed(D.prepared(records(spark, sf_dir)))
+    d = table(spark, sf_dir, "dedupe_pairs").select("pair_id", (F.col("pair_id") * 2).alias("a"), (F.col("pair_id") * 2 + 1).alias("b"), F.col("duplicate").alias("expected"), F.coalesce("kind", F.lit("unspecified")).alias("kind"))
+    rows = checkpointed(D.pair_benchmark(d, p))
+    at = spark.range(1).select(F.lit(D.THRESHOLD).alias("threshold"))
+    return _rounded(D.confusion(rows, at).withColumn("kind", F.lit("all")).unionByName(D.confusion(rows, at, ["kind"])))
+
+
 @query("dedupe_groups")
 def dedupe_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.duplicate_groups(records(spark, sf_dir))

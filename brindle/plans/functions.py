@@ -18,7 +18,8 @@ from brindle.session import table
 
 NORM = "trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g'))"
 STEM = "CASE WHEN length({0}) > 4 AND suffix({0}, 'es') THEN left({0}, length({0}) - 2) WHEN length({0}) > 3 AND suffix({0}, 's') THEN left({0}, length({0}) - 1) ELSE {0} END"
-LINES = "l AS (SELECT pair_id, unnest(left_recipe.ingredients) AS line FROM dedupe_pairs)"
+SIDES = "b AS (SELECT pair_id, 'left' AS side, left_recipe AS r FROM dedupe_pairs UNION ALL SELECT pair_id, 'right', right_recipe FROM dedupe_pairs)"
+LINES = SIDES + ", l AS (SELECT pair_id, side, unnest(r.ingredients) AS line FROM b)"
 URL = r"""regexp_extract({0}, '^[^:/?#]*://[^/?#]*([^?#]*)', 1)"""
 PAGE = (
     "lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) || '://' || lower(regexp_extract(u, '^[^:/?#]*://([^/?#]*)', 1)) || coalesce(nullif(" + URL.format("u") + ", ''), '/')"
@@ -57,21 +58,21 @@ def title_form(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "norm_ingredient",
-    f"WITH {LINES} SELECT pair_id, line, trim(regexp_replace(regexp_replace(regexp_replace({NORM.format('line')}, '\\b\\d+(?:\\s+\\d+/\\d+|/\\d+|\\.\\d+)?\\b', ' ', 'g'), '\\b(?:cups?|tablespoons?|tbsp|teaspoons?|tsp|ounces?|oz|pounds?|lbs?|grams?|g|kg|ml|milliliters?|liters?|l|pinch|dash|cloves?)\\b', ' ', 'g'), '\\s+', ' ', 'g')) AS norm FROM l",
+    f"WITH {LINES} SELECT pair_id, side, line, trim(regexp_replace(regexp_replace(regexp_replace({NORM.format('line')}, '\\b\\d+(?:\\s+\\d+/\\d+|/\\d+|\\.\\d+)?\\b', ' ', 'g'), '\\b(?:cups?|tablespoons?|tbsp|teaspoons?|tsp|ounces?|oz|pounds?|lbs?|grams?|g|kg|ml|milliliters?|liters?|l|pinch|dash|cloves?)\\b', ' ', 'g'), '\\s+', ' ', 'g')) AS norm FROM l",
 )
 def norm_ingredient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).withColumn("norm", X.normalize_ingredient(F.col("line")))
 
 
-@query("first_number", f"WITH {LINES} SELECT pair_id, line, TRY_CAST(replace(regexp_extract(line, '-?\\d[\\d,]*(?:\\.\\d+)?'), ',', '') AS DOUBLE) AS number FROM l")
+@query("first_number", f"WITH {LINES} SELECT pair_id, side, line, TRY_CAST(replace(regexp_extract(line, '-?\\d[\\d,]*(?:\\.\\d+)?'), ',', '') AS DOUBLE) AS number FROM l")
 def first_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir).withColumn("number", X.first_number(F.col("line")))
 
 
 @query(
     "recipe_signatures",
-    "WITH n AS (SELECT pair_id, [x FOR x IN [" + NORM.format("y") + " FOR y IN coalesce(left_recipe.ingredients, [])] IF x <> ''] AS i, [x FOR x IN [" + NORM.format("y") + " FOR y IN coalesce(left_recipe.instructions, [])] IF x <> ''] AS s FROM dedupe_pairs)"
-    " SELECT pair_id, CASE WHEN len(i) = 0 THEN '' ELSE left(sha256(array_to_string(list_sort(list_distinct(i)), chr(10))), 24) END AS ingredient_signature, CASE WHEN len(s) = 0 THEN '' ELSE left(sha256(array_to_string(s, chr(10))), 24) END AS instruction_signature FROM n",
+    "WITH " + SIDES + ", n AS (SELECT pair_id, side, [x FOR x IN [" + NORM.format("y") + " FOR y IN coalesce(r.ingredients, [])] IF x <> ''] AS i, [x FOR x IN [" + NORM.format("y") + " FOR y IN coalesce(r.instructions, [])] IF x <> ''] AS s FROM b)"
+    " SELECT pair_id, side, CASE WHEN len(i) = 0 THEN '' ELSE left(sha256(array_to_string(list_sort(list_distinct(i)), chr(10))), 24) END AS ingredient_signature, CASE WHEN len(s) = 0 THEN '' ELSE left(sha256(array_to_string(s, chr(10))), 24) END AS instruction_signature FROM n",
 )
 def recipe_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = pair_sides(spark, sf_dir, "ingredients", "instructions")

@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from brindle.bindings import coverage, readings, recipes, snapshots
 from brindle.operators import timeseries as T
 from brindle.operators.score import volume_bucket
-from brindle.plans.sql import COVERAGE, NOW, READINGS, RECIPES, SNAPSHOTS
+from brindle.plans.sql import BUCKET as SQL_BUCKET
+from brindle.plans.sql import COVERAGE, DAY, NOW, READINGS, RECIPES, SNAPSHOTS, WALK
 from brindle.registry import query
 
-DAY = 86400000000
 BUCKETS = ["0-24", "25-99", "100-499", "500-1999", "2000+"]
-SQL_BUCKET = "CASE WHEN n <= 24 THEN '0-24' WHEN n <= 99 THEN '25-99' WHEN n <= 499 THEN '100-499' WHEN n <= 1999 THEN '500-1999' ELSE '2000+' END"
 
 
 def _r(df: DataFrame, *columns: str) -> DataFrame:
@@ -42,13 +41,7 @@ def velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(last.select("key", grown.alias("grown"), (grown / ((F.col("r.t") - F.col("r.previous_t")) / DAY)).alias("per_day")), "per_day")
 
 
-PAIRS_SQL = f"""WITH RECURSIVE {READINGS},
-nth AS (SELECT key, t, rating, n, row_number() OVER (PARTITION BY key ORDER BY t) AS i FROM readings),
-walk AS (SELECT key, i, t AS at, rating AS ar, n AS an, NULL::BIGINT AS from_t, NULL::BIGINT AS to_t, NULL::BIGINT AS top, NULL::DOUBLE AS delta FROM nth WHERE i = 1
-  UNION ALL SELECT w.key, x.i, CASE WHEN ok THEN x.t ELSE w.at END, CASE WHEN ok THEN x.rating ELSE w.ar END, CASE WHEN ok THEN x.n ELSE w.an END,
-    CASE WHEN ok THEN w.at END, CASE WHEN ok THEN x.t END, CASE WHEN ok THEN greatest(w.an, x.n) END, CASE WHEN ok THEN x.rating - w.ar END
-  FROM walk w JOIN (SELECT * FROM nth) x ON x.key = w.key AND x.i = w.i + 1, LATERAL (SELECT x.t - w.at >= {DAY} AND x.n > w.an AS ok))
-"""
+PAIRS_SQL = f"WITH RECURSIVE {READINGS}, {WALK}"
 
 
 @query("empirical_pairs", PAIRS_SQL + " SELECT key, from_t, to_t, top AS n, round(delta, 6) + 0.0 AS delta FROM walk WHERE to_t IS NOT NULL")

@@ -28,7 +28,7 @@ def _r(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in columns})
 
 
-@query("flagship_rank", "WITH " + scored(ACTIVE) + " SELECT rank, id, source, n, round(score, 6) AS score, round(posterior, 6) AS posterior, round(uncertainty, 6) AS uncertainty FROM rk WHERE rank <= 50")
+@query("flagship_rank", "WITH RECURSIVE " + scored(ACTIVE) + " SELECT rank, id, source, n, round(score, 6) AS score, round(posterior, 6) AS posterior, round(uncertainty, 6) AS uncertainty FROM rk WHERE rank <= 50")
 def flagship_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = S.rank_top(scores(spark, sf_dir), 50)
     return _r(top.select("rank", "id", "source", "n", "score", "posterior", "uncertainty"), "score", "posterior", "uncertainty")
@@ -36,7 +36,7 @@ def flagship_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "score_parts",
-    "WITH " + scored(ACTIVE) + " SELECT id, rank, round(prior, 6) AS prior, round(expected, 6) AS expected, round(m, 6) AS m, round(bias, 6) + 0.0 AS bias, round(adjusted, 6) AS adjusted, round(posterior, 6) AS posterior,"
+    "WITH RECURSIVE " + scored(ACTIVE) + " SELECT id, rank, round(prior, 6) AS prior, round(expected, 6) AS expected, round(m, 6) AS m, round(bias, 6) + 0.0 AS bias, round(adjusted, 6) AS adjusted, round(posterior, 6) AS posterior,"
     " round(uncertainty, 6) AS uncertainty, round(evidence, 6) + 0.0 AS evidence, round(score, 6) AS score, spread IS NOT NULL AS from_histogram FROM rk",
 )
 def score_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,25 @@ def golden_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.ranked(S.score_items(items)).select("id", "rank", F.round("score", 9).alias("score"))
 
 
+POINTS = {"bias_cap": [0.10, 0.15], "evidence_scale": [0.20, 0.30], "source_pooling": [20.0, 200.0], "category_pooling": [20.0, 500.0], "uncertainty_cap": [0.25, 0.30], "volume_multiplier": [1.0, 1.3], "volume_quantile": [0.6, 0.95]}
+_POINTS_SQL = "SELECT row_number() OVER () AS scenario, * FROM " + ", ".join(f"(SELECT unnest({v}::DOUBLE[]) AS {c})" for c, v in zip(["cap_b", "scale_e", "ps", "pc", "cap_u", "mult", "q"], POINTS.values(), strict=True))
+_POINT = ["bias_cap", "evidence_scale", "source_pooling", "category_pooling", "uncertainty_cap", "volume_multiplier", "volume_quantile"]
+
+
+@query(
+    "score_grid",
+    "WITH RECURSIVE " + scored(_POINTS_SQL, quantiles=(0.6, 0.95)) + " SELECT cap_b AS bias_cap, scale_e AS evidence_scale, ps AS source_pooling, pc AS category_pooling, cap_u AS uncertainty_cap, mult AS volume_multiplier, q AS volume_quantile,"
+    " count(*) AS items, round(avg(score), 6) AS score, round(avg(m), 6) AS m, round(avg(expected), 6) AS expected, round(avg(bias), 6) + 0.0 AS bias, round(avg(uncertainty), 6) AS uncertainty, min(CASE WHEN rank = 1 THEN id END) AS best FROM rk GROUP BY ALL",
+)
+def score_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven parameters varied at once; every scenario's means and its best item."""
+    grid = S.configuration_grid(POINTS, most=1000)
+    figures = ["score", "m", "expected", "bias", "uncertainty"]
+    sums = scores(spark, sf_dir, grid).groupBy("scenario").agg(F.count(F.lit(1)).alias("items"), *[F.avg(c).alias(c) for c in figures], F.min(F.struct((-F.round("score", 9)).alias("s"), (-F.col("n")).alias("n"), "id")).alias("b"))
+    named = sums.join(F.broadcast(S.grid_frame(spark, grid).select("scenario", *_POINT)), "scenario")
+    return _r(named.select(*_POINT, "items", *figures, F.col("b.id").alias("best")), *figures)
+
+
 @query("global_prior", "WITH " + BASE + " SELECT round(prior, 6) AS prior, round(volume, 6) AS volume, greatest(50.0, volume) AS base FROM g, vp")
 def global_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = recipes(spark, sf_dir)
@@ -72,7 +91,7 @@ def source_adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(rows.select("source", "k", "shrunk", bias.alias("bias"), (F.abs(F.col("shrunk") - bias) > 1e-12).alias("capped")), "shrunk", "bias")
 
 
-_SIM = "WITH " + scored(f"({ACTIVE}) UNION ALL SELECT scenario, mult, cap_b, scale_e, cap_u FROM ({GRID36})") + ", b AS (SELECT id, rank FROM rk WHERE scenario = 0), s AS (SELECT scenario, id, rank FROM rk WHERE scenario > 0) "
+_SIM = "WITH RECURSIVE " + scored(f"({ACTIVE}) UNION ALL SELECT * FROM ({GRID36})") + ", b AS (SELECT id, rank FROM rk WHERE scenario = 0), s AS (SELECT scenario, id, rank FROM rk WHERE scenario > 0) "
 
 
 def _simulated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brindle.session import shared_folder
+
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table's files as a stream; its schema is that of the files there."""
@@ -17,9 +17,14 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder on the storage all executors share; a temporary one where no checkpoint folder is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="brindle-stream-")
+    """A new folder on the storage all executors share (session.shared_folder)."""
+    return f"{shared_folder(spark, 'brindle-stream-').rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists on the file system its address names."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
 def drain(stream: DataFrame, mode: str) -> DataFrame:
@@ -36,7 +41,7 @@ def drain(stream: DataFrame, mode: str) -> DataFrame:
 
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(write).trigger(availableNow=True).start()
     query.awaitTermination()
-    if not query.lastProgress and not os.path.exists(f"{folder}/out".removeprefix("file://")):
+    if not exists(spark, f"{folder}/out"):
         return spark.createDataFrame([], stream.schema)
     return spark.read.schema(stream.schema).parquet(f"{folder}/out" if mode == "complete" else f"{folder}/out/batch=*")
 

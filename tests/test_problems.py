@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from brindle.functions.url import normalize_domain
 from brindle.operators.history import validity_periods
 from brindle.operators.snapshots import same_to, snapshot_changes
-from brindle.operators.spikes import FEATURES, SpikeRules, fit_forest, implausible_readings, reading_scores, score_forest, split_hot
+from brindle.operators.spikes import FEATURES, SpikeRules, fit_trees, implausible_readings, reading_scores, score_trees, split_hot
 from brindle.operators.units import common_units, equal_amounts, parse_line
 
 SNAP = "board_id bigint, run_id bigint, recipe_id string, rank int, hierarchical_score double, timestamp string, delivered_at timestamp, extra string, board string"
@@ -194,7 +194,7 @@ def test_cuts_of_uneven_series_change_no_feature(spark):
     at = [t0 - 10**9] + [t0 + 86_400 * i for i in range(1, 300)]
     rows = [("h", "s", at[i], 4.0 + rng.random() / 10, counts[i]) for i in range(300)] + [("c", "s", t0 + 86_400 * i, 4.5, 50 + i) for i in range(15)]
     df = spark.createDataFrame(rows, "key string, source string, at bigint, r double, c bigint").withColumn("ts", F.date_format(F.timestamp_seconds("at"), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    columns = ["key", "t", "run_length", "run_at", "gap_count", "noise_count", "noise_rating", *FEATURES]
+    columns = ["key", "t", "run_length", "run_at", "gap_count", *FEATURES]
 
     def features(rules):
         return sorted(tuple(r) for r in reading_scores(df, "key", "source", "ts", "r", "c", rules).select(*[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(-1.0)), F.lit(-1.0)).alias(c) if c != "key" else F.col(c) for c in columns]).collect())
@@ -213,9 +213,24 @@ def test_parts_of_uneven_series_are_bounded(spark):
 
 def test_forest_isolates_outliers():
     rng = np.random.default_rng(0)
-    x = np.abs(np.r_[rng.normal(0, 0.05, (500, 6)), [[5, 0, 0, 0, 0, 0]]])
-    forest = fit_forest(x[:500], 40, 128, 1)
-    scores = score_forest(forest, x)
-    assert scores[-1] > np.quantile(scores[:500], 0.99)
-    again = fit_forest(x[:500][::-1], 40, 128, 1)
-    assert np.allclose(score_forest(again, x), scores)
+    x = np.abs(rng.normal(0, 0.05, 500))
+    trees = fit_trees(x, 0.1, 60, 128, 1)
+    scores = score_trees(*trees, np.r_[x, 0.5, 5.0])
+    assert scores[-1] >= scores[-2] > np.quantile(scores[:500], 0.99)
+    again = fit_trees(x[::-1], 0.1, 60, 128, 1)
+    assert all(np.array_equal(a, b) for a, b in zip(trees, again, strict=True))
+    # the step function is what walking each tree gives: a value far below and far above all bounds get the end scores
+    assert score_trees(*trees, np.array([-1.0, 1e9])).tolist() == [trees[1][0], trees[1][-1]]
+    assert score_trees(*fit_trees(np.zeros(0), 1.0, 5, 8, 1), np.array([3.0])).tolist() == [0.0]
+    assert len(fit_trees(np.zeros(1), 1.0, 5, 8, 1)[1]) >= 1
+
+
+def test_forest_decides(spark, sf_dir):
+    """Without the forest the result is another; source by source, the same departure is a case or is none."""
+    log = spark.read.parquet(f"{sf_dir}/observations.parquet")
+    args = ("obs_id", "recipe_id", "source", "timestamp", "rating", "rating_count")
+    found = {r[0] for r in implausible_readings(log, *args).collect()}
+    without = {r[0] for r in implausible_readings(log, *args, SpikeRules(cut=-99.0, support=-99.0)).collect()}
+    assert found and found < without and len(without) > 1.5 * len(found)
+    blocks = {r[0] for r in implausible_readings(log, *args, SpikeRules(block_sources=7)).collect()}
+    assert blocks == found
