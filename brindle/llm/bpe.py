@@ -19,7 +19,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p
 
 #: Bounds of the two memos of a worker; a full memo is emptied.
 MEMO_PIECES = 400_000
-MEMO_LINES = 100_000
+#: Characters of the lines that are remembered; with their ids some 40 bytes each.
+MEMO_CHARS = 4_000_000
 _NEVER = 1 << 62
 
 
@@ -110,6 +111,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.pieces = _Pieces(ranks)
         self.lines: dict[str, list[int]] = {}
+        self.kept = 0
         self.split = regex.compile(PATTERN).findall
         # A line end between two characters that aren't white space is a piece of its own, and so is each of two.
         self.cut = regex.compile(r"(?<=\P{White_Space})(\n\n?)(?=\P{White_Space})").split
@@ -135,8 +137,10 @@ class Encoder:
             if ids is None:
                 ids = self.line(part)
                 if len(part) <= 1000:
-                    if len(self.lines) >= MEMO_LINES:
+                    self.kept += len(part)
+                    if self.kept > MEMO_CHARS:
                         self.lines.clear()
+                        self.kept = len(part)
                     self.lines[part] = ids
             out += ids
         return out
@@ -172,7 +176,8 @@ def encode_corpus(df: DataFrame, row_id: str, text: str, vocabulary: str = VOCAB
 
     One pass without a shuffle. The vocabulary (about 50,000 entries, whatever the corpus) is read once on the
     driver and broadcast. Workers split texts by the public pattern and merge each piece by a segment tree over
-    adjacent pair ranks (merge_piece); pieces and whole lines are memoised, bounded by MEMO_PIECES and MEMO_LINES.
+    adjacent pair ranks (merge_piece); pieces and whole lines are memoised, bounded by MEMO_PIECES and
+    MEMO_CHARS.
 
     Defined cases: null and empty texts give an empty list; strings that look like special tokens are ordinary
     text; repeated rows are encoded each; a text of one endless word takes O(n log n); extra columns are ignored.
