@@ -12,10 +12,12 @@ from brindle.functions.url import normalize_url
 from brindle.operators import dedupe as D
 from brindle.operators import relational as R
 from brindle.operators.graph import connected_components
-from brindle.plans.functions import NORM, PAGE, STEM
+from brindle.plans.functions import _CASES as CASES
+from brindle.plans.functions import NORM, PAGE, SIDES, STEM, pair_sides
 from brindle.plans.sql import COVERAGE, READINGS, RECIPES, SNAPSHOTS
 from brindle.registry import query
 from brindle.session import checkpointed, table
+from brindle.sources.html import extract_pages
 
 _MEASURE = "\\b(?:cups?|tablespoons?|tbsp|teaspoons?|tsp|ounces?|oz|pounds?|lbs?|grams?|g|kg|ml|milliliters?|liters?|l|pinch|dash|cloves?)\\b"
 
@@ -179,11 +181,45 @@ def page_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_pages(spark, sf_dir).groupBy("page").agg(F.count(F.lit(1)).alias("items"), F.array_sort(F.collect_list("id")).alias("ids"))
 
 
-@query("query_family", "SELECT * FROM (VALUES ('best air fryer', 0), ('air fryer', 1), ('best slow cooker', 2), ('slow cooker', 3), ('air fryer beef recipe', 1000000), ('slow cooker beef recipe', 1000001), ('air fryer cod recipe', 1000010), ('slow cooker cod recipe', 1000011)) AS t(phrase, p)")
+@query(
+    "query_family",
+    "WITH t AS (SELECT replace(vertical, '_', ' ') AS term, row_number() OVER (ORDER BY vertical) - 1 AS pos FROM (SELECT DISTINCT vertical FROM rankings WHERE vertical <> '')), v AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS pos FROM (SELECT DISTINCT lower(c) AS value FROM (SELECT unnest(categories) AS c FROM observations) WHERE c <> '')),"
+    " u AS (SELECT pos * 2 AS p, 'best ' || term AS phrase FROM t UNION ALL SELECT pos * 2 + 1, term FROM t UNION ALL SELECT 1000000 + v.pos * 10 + t.pos, term || ' ' || value || ' recipe' FROM v, t WHERE t.pos < 2) SELECT phrase, min(p) AS p FROM u GROUP BY 1 ORDER BY p LIMIT 20",
+)
 def query_family(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = spark.createDataFrame([(0, "air fryer"), (1, "slow cooker")], "pos int, term string")
-    values = spark.createDataFrame([(0, "beef"), (1, "cod"), (2, "beef")], "pos int, value string")
-    return R.query_family(terms, values, 20)
+    """Search phrases from the verticals of the rankings and the categories of the log, both short lists."""
+    terms = table(spark, sf_dir, "rankings").filter("vertical <> ''").select("vertical").distinct().withColumn("pos", F.row_number().over(Window.orderBy("vertical")) - 1).select("pos", F.replace("vertical", F.lit("_"), F.lit(" ")).alias("term"))
+    values = table(spark, sf_dir, "observations").select(F.lower(F.explode("categories")).alias("value")).filter("value <> ''").distinct().withColumn("pos", F.row_number().over(Window.orderBy("value")) - 1)
+    return R.query_family(terms, values, 20).withColumn("p", F.col("p").cast("bigint"))
+
+
+@query(
+    "category_recipes",
+    f"WITH {SIDES}, t AS (SELECT pair_id, side, {NORM.format("concat_ws(' ', r.title, array_to_string(r.ingredients, ' '))")} AS n FROM b) SELECT pair_id, side, list_filter([{CASES}], lambda c: c IS NOT NULL) AS categories FROM t",
+)
+def category_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories by title and ingredients together, of both recipes of each pair."""
+    d = pair_sides(spark, sf_dir, "title", "ingredients")
+    return d.select("pair_id", "side", X.categories_of(F.concat_ws(" ", "title", F.array_join("ingredients", " "))).alias("categories"))
+
+
+@query(
+    "page_extract",
+    f"WITH {RECIPES} SELECT url, trim(title) AS title, round(least(5.0, rating / 5.0 * 5.0), 6) AS rating, n AS rating_count, 'verified' AS evidence_status, 1.0::DOUBLE AS evidence_confidence, 1 AS jsonld_scripts, true AS has_visible_pair FROM recipes WHERE trim(title) <> '' AND trim(url) <> ''",
+)
+def page_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written from the current state of the log and read again by the extractor: what comes out must be what went
+    in. (The tables hold no fetched pages.)"""
+    r = recipes(spark, sf_dir, "title", "url").filter("trim(title) <> '' and trim(url) <> ''")
+    data = F.to_json(F.create_map(F.lit("@type"), F.lit("Recipe"), F.lit("name"), F.col("title")))
+    rated = F.to_json(F.struct(F.col("rating").alias("ratingValue"), F.col("n").alias("ratingCount")))
+    item = F.concat(F.expr("substring(_d, 1, length(_d) - 1)"), F.lit(', "aggregateRating": '), F.col("_r"), F.lit("}"))
+    page = F.concat(
+        F.lit("<html><head><script type='application/ld+json'>"), item, F.lit("</script></head><body><span itemprop='ratingValue'>"), F.col("rating").cast("string"), F.lit("</span><b itemprop='ratingCount' content='"), F.col("n").cast("string"), F.lit("'></b></body></html>")
+    )
+    pages = r.withColumns({"_d": data, "_r": rated}).select("url", page.alias("html"))
+    e = extract_pages(pages)
+    return e.select("url", "title", F.round("rating", 6).alias("rating"), "rating_count", "evidence_status", "evidence_confidence", "rating_evidence_signature.jsonld_scripts", "rating_evidence_signature.has_visible_pair")
 
 
 @query("status_counts", f"WITH {RECIPES} SELECT source, evidence_status, count(*) AS c, grouping(source) AS gs, grouping(evidence_status) AS ge FROM recipes GROUP BY ROLLUP (source, evidence_status)")

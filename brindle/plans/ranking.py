@@ -44,15 +44,6 @@ def score_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(S.ranked(scores(spark, sf_dir)), *parts).select("id", "rank", *parts, "from_histogram")
 
 
-GOLDEN = [("a", 4.90, 5000, 1.00), ("b", 5.00, 100, 1.00), ("c", 4.80, 1000, 0.65), ("d", 4.70, 10000, 1.00), ("e", 4.95, 20, 1.00)]
-
-
-@query("golden_rank", "SELECT id, rank, score::DOUBLE AS score FROM (VALUES ('a', 1, 4.809175335), ('b', 2, 4.711960435), ('e', 3, 4.704234183), ('c', 4, 4.687473512), ('d', 5, 4.676736588)) AS t(id, rank, score)")
-def golden_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = spark.createDataFrame([(i, "example.com", r, n, c, ["Chicken"], {}) for i, r, n, c in GOLDEN], "id string, source string, rating double, n bigint, confidence double, categories array<string>, histogram map<string, bigint>")
-    return S.ranked(S.score_items(items)).select("id", "rank", F.round("score", 9).alias("score"))
-
-
 POINTS = {"bias_cap": [0.10, 0.15], "evidence_scale": [0.20, 0.30], "source_pooling": [20.0, 200.0], "category_pooling": [20.0, 500.0], "uncertainty_cap": [0.25, 0.30], "volume_multiplier": [1.0, 1.3], "volume_quantile": [0.6, 0.95]}
 _POINTS_SQL = "SELECT row_number() OVER () AS scenario, * FROM " + ", ".join(f"(SELECT unnest({v}::DOUBLE[]) AS {c})" for c, v in zip(["cap_b", "scale_e", "ps", "pc", "cap_u", "mult", "q"], POINTS.values(), strict=True))
 _POINT = ["bias_cap", "evidence_scale", "source_pooling", "category_pooling", "uncertainty_cap", "volume_multiplier", "volume_quantile"]

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from brindle.session import checkpointed
+
 OBSERVATION = (
     "recipe_id STRING, timestamp STRING, source STRING, url STRING, title STRING, rating DOUBLE, rating_count BIGINT, evidence_confidence DOUBLE, evidence_status STRING, extraction_method STRING, page_hash STRING, schema_version INT,"
     " dom_fingerprint STRING, schema_signature STRING, canonical_url STRING, author STRING, ingredient_signature STRING, instruction_signature STRING, instruction_simhash STRING, image_fingerprint STRING, image_perceptual_hash STRING,"
@@ -84,14 +86,16 @@ def sitemap_links(documents: DataFrame) -> DataFrame:
     return parts.select("url", F.when(F.col("entry").startswith("<sitemap"), "index").otherwise("page").alias("kind"), unescaped.alias("loc"), last.alias("lastmod")).filter("loc <> ''")
 
 
-def sitemap_pages(documents: DataFrame, roots: list[str], most_levels: int = 5) -> DataFrame:
-    """Pages that root sitemaps reach through indexes, each once with its latest lastmod; cycles end by themselves."""
+def sitemap_pages(documents: DataFrame, roots: list[str]) -> DataFrame:
+    """Pages that root sitemaps reach through indexes of any depth, each once with its latest lastmod; cycles end by
+    themselves, since no document is followed twice. Each level is written, so a deep tree has no deep plan."""
     links = sitemap_links(documents)
     seen = documents.sparkSession.createDataFrame([(r,) for r in roots], "doc string")
     new = seen
-    for _ in range(most_levels):
+    while True:
         new = links.filter("kind = 'index'").join(new, links["url"] == new["doc"], "left_semi").select(F.col("loc").alias("doc")).distinct().join(seen, "doc", "left_anti")
+        new = checkpointed(new)
         if new.isEmpty():
             break
-        seen = seen.union(new)
+        seen = checkpointed(seen.union(new))
     return links.filter("kind = 'page'").join(seen, links["url"] == seen["doc"], "left_semi").groupBy(F.col("loc").alias("page")).agg(F.max("lastmod").alias("lastmod"))

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame
 
 _NUMBER = re.compile(r"-?\d[\d,]*(?:\.\d+)?")
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-#: Attributes that make up a page's structure.
+#: Keys of a page's data that make up its shape.
+SHAPE_KEYS = ["@type", "aggregateRating", "ratingValue", "ratingCount", "reviewCount", "bestRating", "recipeIngredient", "recipeInstructions", "author", "image", "name"]
+#: Attributes that make up a page's structure.
 STRUCTURE = ["class", "id", "itemprop", "itemtype", "role"]
 
 
@@ -122,6 +124,7 @@ def evidence(rating: float, count: int, seen_rating: float | None, seen_count: f
     """Confidence and status of a rating in the page's data against the one a reader sees."""
     if seen_rating is None and seen_count is None:
         return 0.65, "schema_only"
+    # fixed values: how far the shown values may lie from those of the data
     agrees = (seen_rating is None or abs(rating - seen_rating) <= 0.08) and (seen_count is None or abs(count - int(seen_count)) <= max(5, int(count * 0.08)))
     return (1.0, "verified") if agrees else (0.25, "conflict")
 
@@ -146,6 +149,33 @@ def _hash(text: str, digits: int = 24) -> str:
     return hashlib.sha256(text.encode("utf-8", "ignore")).hexdigest()[:digits]
 
 
+def shape(value: object) -> object:
+    """What kind of data a JSON value is: its known keys, the first entry of its lists, the types of its values."""
+    if isinstance(value, dict):
+        return {k: shape(v) for k, v in sorted(value.items()) if k in SHAPE_KEYS}
+    return [shape(x) for x in value[:1]] if isinstance(value, list) else type(value).__name__
+
+
+def schema_signature(scripts: list[str]) -> str:
+    """24 hex digits over the shapes of a page's data; '' without any that can be read."""
+    shapes = []
+    for raw in scripts:
+        try:
+            shapes.append(shape(json.loads(raw)))
+        except ValueError:
+            continue
+    return _hash(json.dumps(shapes, sort_keys=True, separators=(",", ":"))) if shapes else ""
+
+
+def image_of(value: object) -> str:
+    """Address of an image given as text, object or a list of either; '' for none."""
+    for item in value if isinstance(value, list) else [value]:
+        found = item if isinstance(item, str) else item.get("url") or item.get("contentUrl") if isinstance(item, dict) else ""
+        if isinstance(found, str) and found.strip():
+            return found.strip()
+    return ""
+
+
 def extract(url: str, html: str | None) -> dict[str, object]:
     """Evidence of one page; recipe_id is null where the page has no rated recipe. Null and empty pages have none."""
     page = _Page()
@@ -154,6 +184,9 @@ def extract(url: str, html: str | None) -> dict[str, object]:
     canonical = urljoin(url or "", page.canonical) if page.canonical else url
     seen_rating, seen_count = page.visible(["ratingValue", "rating"]), page.visible(["ratingCount", "reviewCount"])
     out: dict[str, object] = {"url": url, "canonical_url": canonical, "page_hash": _hash(html or ""), "dom_fingerprint": _hash("\n".join(page.shape)), "recognized": False}
+    values, counts = (sum(prop in names for prop, _, _ in page.marked) for names in (["ratingValue"], ["ratingCount", "reviewCount"]))
+    out["schema_signature"] = schema_signature(page.scripts)
+    out["rating_evidence_signature"] = {"visible_rating_value_nodes": values, "visible_rating_count_nodes": counts, "jsonld_scripts": len(page.scripts), "has_visible_pair": bool(values and counts)}
     best: tuple | None = None
     for item in _objects(page.scripts):
         kinds = item.get("@type")
@@ -172,7 +205,7 @@ def extract(url: str, html: str | None) -> dict[str, object]:
         if best is None or (confidence, int(count)) > best[0]:
             items = item.get("recipeIngredient")
             best = (confidence, int(count)), {
-                "title": str(item.get("name") or page.title or url).strip(), "rating": value, "rating_count": int(count), "evidence_confidence": confidence, "evidence_status": status, "author": _names(item.get("author")),
+                "title": str(item.get("name") or page.title or url).strip(), "rating": value, "rating_count": int(count), "evidence_confidence": confidence, "evidence_status": status, "author": _names(item.get("author")), "image": image_of(item.get("image")),
                 "ingredients": [str(x).strip() for x in items] if isinstance(items, list) else [], "instructions": _texts(item.get("recipeInstructions") or []), "rating_histogram": list(histogram(rated).items()),
             }
     if best:
@@ -181,10 +214,11 @@ def extract(url: str, html: str | None) -> dict[str, object]:
 
 
 SCHEMA = pa.schema(
-    [("url", pa.string()), ("canonical_url", pa.string()), ("page_hash", pa.string()), ("dom_fingerprint", pa.string()), ("recognized", pa.bool_()), ("recipe_id", pa.string()), ("title", pa.string()), ("rating", pa.float64()), ("rating_count", pa.int64()),
-     ("evidence_confidence", pa.float64()), ("evidence_status", pa.string()), ("author", pa.string()), ("ingredients", pa.list_(pa.string())), ("instructions", pa.list_(pa.string())), ("rating_histogram", pa.map_(pa.string(), pa.int64()))]
+    [("url", pa.string()), ("canonical_url", pa.string()), ("page_hash", pa.string()), ("dom_fingerprint", pa.string()), ("schema_signature", pa.string()),
+     ("rating_evidence_signature", pa.struct([("visible_rating_value_nodes", pa.int32()), ("visible_rating_count_nodes", pa.int32()), ("jsonld_scripts", pa.int32()), ("has_visible_pair", pa.bool_())])), ("recognized", pa.bool_()), ("recipe_id", pa.string()), ("title", pa.string()), ("rating", pa.float64()), ("rating_count", pa.int64()),
+     ("evidence_confidence", pa.float64()), ("evidence_status", pa.string()), ("author", pa.string()), ("image", pa.string()), ("ingredients", pa.list_(pa.string())), ("instructions", pa.list_(pa.string())), ("rating_histogram", pa.map_(pa.string(), pa.int64()))]
 )
-DDL = "url string, canonical_url string, page_hash string, dom_fingerprint string, recognized boolean, recipe_id string, title string, rating double, rating_count bigint, evidence_confidence double, evidence_status string, author string, ingredients array<string>, instructions array<string>, rating_histogram map<string, bigint>"
+DDL = "url string, canonical_url string, page_hash string, dom_fingerprint string, schema_signature string, rating_evidence_signature struct<visible_rating_value_nodes: int, visible_rating_count_nodes: int, jsonld_scripts: int, has_visible_pair: boolean>, recognized boolean, recipe_id string, title string, rating double, rating_count bigint, evidence_confidence double, evidence_status string, author string, image string, ingredients array<string>, instructions array<string>, rating_histogram map<string, bigint>"
 
 
 def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

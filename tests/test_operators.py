@@ -199,3 +199,45 @@ def test_streams_write_what_batches_give(spark, tmp_path):
         assert sorted(map(tuple, W.drain(make(stream), "complete").collect())) == sorted(map(tuple, make(events).collect()))
     once = W.drain(W.first_deliveries(stream.union(stream), ["event_id"]), "append")
     assert once.count() == 60
+
+
+def test_golden_scores(spark):
+    """Scores of five items worked out by hand."""
+    from brindle.operators import score as S
+
+    rows = [("a", 4.90, 5000, 1.00), ("b", 5.00, 100, 1.00), ("c", 4.80, 1000, 0.65), ("d", 4.70, 10000, 1.00), ("e", 4.95, 20, 1.00)]
+    items = spark.createDataFrame([(i, "example.com", r, n, c, ["Chicken"], {}) for i, r, n, c in rows], "id string, source string, rating double, n bigint, confidence double, categories array<string>, histogram map<string, bigint>")
+    got = {r["rank"]: (r["id"], round(r["score"], 9)) for r in S.ranked(S.score_items(items)).collect()}
+    assert got == {1: ("a", 4.809175335), 2: ("b", 4.711960435), 3: ("e", 4.704234183), 4: ("c", 4.687473512), 5: ("d", 4.676736588)}
+    apart = S.score_items(items.withColumn("cutoff", F.lit(1)).unionByName(items.withColumn("cutoff", F.lit(2))), by=["cutoff"])
+    assert sorted((r["cutoff"], r["id"], round(r["score"], 9)) for r in apart.collect()) == sorted((c, i, s) for c in (1, 2) for i, s in got.values())
+
+
+def test_configuration_grid():
+    from brindle.operators.score import Params, configuration_grid
+
+    values = {"bias_cap": [0.1, 0.15, 0.2], "evidence_scale": [0.1, 0.2, 0.3], "source_pooling": [10.0, 20.0], "category_pooling": [10.0, 20.0], "uncertainty_cap": [0.2, 0.25], "volume_multiplier": [0.8, 1.0, 1.2]}
+    grid = configuration_grid(values)
+    assert len(grid) <= 96 and grid[0] == Params() and len({p for p in grid}) == len(grid) and grid == configuration_grid(values)
+    assert len(configuration_grid(values, most=1000)) == 216 and [p.scenario for p in grid] == list(range(len(grid)))
+
+
+def test_numbers_within_groups(spark):
+    from brindle.operators.relational import numbered_within
+
+    rows = [(k, i) for k in "abc" for i in range(50 if k == "a" else 3)]
+    df = spark.createDataFrame(rows, "k string, i int").repartition(7)
+    got = sorted((r["k"], r["nth"], r["i"]) for r in numbered_within(df, ["k"], [F.desc("i")]).collect())
+    assert got == sorted((k, n, i) for k in "abc" for n, i in enumerate(sorted((i for x, i in rows if x == k), reverse=True), 1))
+    assert numbered_within(df.limit(0), ["k"], [F.desc("i")]).count() == 0
+
+
+def test_duplicates_by_evidence_lose_no_pair(spark, sf_dir):
+    """Every pair at or above the threshold among all blocked pairs is found by the small keys, with the same score."""
+    from brindle.operators import dedupe as D
+    from brindle.plans.entities import records
+
+    p = D.prepared(records(spark, sf_dir))
+    whole = {(r["a"], r["b"]): round(r["score"], 9) for r in D.similarity(D.blocked_pairs(D.block_keys(p)), p).filter(F.col("score") >= D.THRESHOLD).collect()}
+    small = {(r["a"], r["b"]): round(r["score"], 9) for r in D.similarity(D.duplicate_candidates(p), p, D.THRESHOLD).collect()}
+    assert whole == small and whole

@@ -92,3 +92,20 @@ def test_pages(spark):
     assert got["zero"]["recognized"] and got["zero"]["recipe_id"] is None
     assert not got["plain"]["recognized"] and not got["bad"]["recognized"] and got["null"]["recipe_id"] is None
     assert html.extract("u", "<p class='a'>x")["dom_fingerprint"] != html.extract("u", "<p class='b'>x")["dom_fingerprint"]
+
+
+def test_page_structure():
+    data = recipe(ratingValue="4.5", ratingCount=10)
+    same, other = recipe(ratingValue="3.9", ratingCount=88), '{"@type": "Recipe", "name": ["a", "b"]}'
+    pages = [html.extract("https://a.example/", PAGE % (d, "4", "1")) for d in (data, same, other, "{bad")]
+    assert pages[0]["schema_signature"] == pages[1]["schema_signature"] != pages[2]["schema_signature"] and pages[3]["schema_signature"] == ""
+    assert pages[0]["rating_evidence_signature"] == {"visible_rating_value_nodes": 1, "visible_rating_count_nodes": 1, "jsonld_scripts": 1, "has_visible_pair": True}
+    assert html.extract("u", None)["rating_evidence_signature"]["has_visible_pair"] is False
+    assert html.image_of([{"@type": "ImageObject", "url": " https://a/i.jpg "}, "x"]) == "https://a/i.jpg" and html.image_of(None) == "" == html.image_of({"url": 3})
+
+
+def test_deep_sitemaps_are_followed_to_the_end(spark):
+    rows = [(f"https://a/{i}", f"<sitemapindex><sitemap><loc>https://a/{i + 1}</loc></sitemap></sitemapindex>") for i in range(8)]
+    rows.append(("https://a/8", "<urlset><url><loc>https://a/page</loc></url></urlset>"))
+    df = spark.createDataFrame(rows, "url string, xml string")
+    assert [tuple(r) for r in files.sitemap_pages(df, ["https://a/0"]).collect()] == [("https://a/page", None)]
