@@ -62,6 +62,8 @@ _MARKS = "".join(f"\\u{i:04x}" for i in range(0x300, 0xFFFF) if unicodedata.cate
 _TOKENS = re.compile(rf"\|\||!!|\n[|!*#:;]+|https?://[^\s\]\"<>|]+|\[\[category:[^\]\n]*\]\]|<a\s[^<>]*>|</?[a-z][^<>]*>|#\w[\w-]*|\w+-\w+-\d+|[\w{_MARKS}]+")
 
 MEMO_WORDS = 400_000
+#: Texts that are judged at once.
+SLICE = 1_000
 WORD, NUMBER, LINK, CATEGORY, TAG, LABEL = range(6)
 #: Marks what begins a cell of a table.
 CELL = -1
@@ -162,14 +164,23 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[pair, -word - 1, 0, ALL]), pa.array(n), pa.array(reverse)], names=["key", "texts", "reverse"])
 
 
-def _around(values: np.ndarray, doc: np.ndarray, reach: int) -> np.ndarray:
-    """Sum over the tokens within reach in the same text."""
-    total = np.r_[0.0, np.cumsum(values)]
-    n = len(values)
-    first = np.searchsorted(doc, doc, "left")
-    end = np.searchsorted(doc, doc, "right")
-    at = np.arange(n)
-    return total[np.minimum(at + reach + 1, end)] - total[np.maximum(at - reach, first)]
+class _Nearby:
+    """Sums over the tokens within reach of each token in the same text."""
+
+    def __init__(self, doc: np.ndarray) -> None:
+        self.n = len(doc)
+        sizes = np.bincount(doc)
+        self.end = np.repeat(np.cumsum(sizes), sizes)
+        self.first = self.end - np.repeat(sizes, sizes)
+        self.spans: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def sum(self, values: np.ndarray, reach: int) -> np.ndarray:
+        if reach not in self.spans:
+            at = np.arange(self.n)
+            self.spans[reach] = np.minimum(at + reach + 1, self.end), np.maximum(at - reach, self.first)
+        total = np.r_[0.0, np.cumsum(values)]
+        high, low = self.spans[reach]
+        return total[high] - total[low]
 
 
 def _mixed(keys: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -228,16 +239,21 @@ def matter_shares(texts: list[str | None], company: Company, rules: SpamRules) -
         told[at] = np.where(there, company.bits[place], 0.0) if len(company.pairs) else 0.0
         both = known[at] & known[at + 1]
         usual[at] = np.where(both, (company.after[spot[at]] + company.before[spot[at + 1]]) / 2, 0.0)
-    near = _around(np.ones(n), doc, rules.company_reach)
-    expected = _around(usual, doc, rules.company_reach)
-    strange = known & ~coherent & (_around(told, doc, rules.company_reach) < rules.company * expected) & (expected >= rules.company_bits * near)
-
-    again = _counts(whole, doc) >= rules.repeated
+    nearby = _Nearby(doc)
+    near = nearby.sum(np.ones(n), rules.company_reach)
+    expected = nearby.sum(usual, rules.company_reach)
+    strange = known & ~coherent & (nearby.sum(told, rules.company_reach) < rules.company * expected) & (expected >= rules.company_bits * near)
+
+    # equal words of a text side by side, each word's in the order of their places
+    mixed = _mixed(whole, doc)
+    order = np.argsort(mixed, kind="stable")
+    run = np.cumsum(np.r_[False, mixed[order[1:]] != mixed[order[:-1]]])
+    again = np.zeros(n, bool)
+    again[order] = np.bincount(run)[run] >= rules.repeated
     part = np.zeros(n, bool)
     long = np.flatnonzero((head > 0) & ~coherent)
     part[long] = (_counts(head[long], doc[long]) >= rules.part_repeated) | (_counts(tail[long], doc[long]) >= rules.part_repeated)
     # a collocation that comes again and again within a few words
-    order = np.argsort(_mixed(whole, doc), kind="stable")
     close = np.zeros(n, bool)
     k = rules.dense - 1
     if n > k:
@@ -257,8 +273,8 @@ def matter_shares(texts: list[str | None], company: Company, rules: SpamRules) -
     if len(at):
         same = at[_counts(forward, doc[at]) > 1]
         moved[same] = moved[same + 1] = False
-    words_near = _around(word.astype(float), doc, rules.company_reach)
-    strange |= word & ~coherent & (_around((moved & word).astype(float), doc, rules.company_reach) >= rules.shuffled * words_near)
+    words_near = nearby.sum(word.astype(float), rules.company_reach)
+    strange |= word & ~coherent & (nearby.sum((moved & word).astype(float), rules.company_reach) >= rules.shuffled * words_near)
     # a word that is all of a table's cell is a value, however often it comes
     mark = np.maximum.accumulate(np.where((kind == TAG) | (np.r_[True, doc[1:] != doc[:-1]]), np.arange(n), 0))
     repeated = word & ~((head[mark] == CELL) & ~beside) & ((~coherent & (again | part)) | (close & ~frequent) | strange)
@@ -273,7 +289,7 @@ def matter_shares(texts: list[str | None], company: Company, rules: SpamRules) -
     counted = np.where(kind == LINK, np.minimum(weight, rules.link_evidence), weight)
     good = ~bad & ~neutral & coherent
     unknown = ~bad & ~neutral & ~coherent
-    evidence = _around(counted * (bad.astype(float) - good - rules.unknown * unknown - rules.numbers * (kind == NUMBER)), doc, rules.reach)
+    evidence = nearby.sum(counted * (bad.astype(float) - good - rules.unknown * unknown - rules.numbers * (kind == NUMBER)), rules.reach)
     matter = np.bincount(doc, weight * ((evidence > 0) & (kind != TAG)), minlength=len(texts))
     total = np.bincount(doc, weight * (kind != TAG), minlength=len(texts))
     enough = np.bincount(doc, minlength=len(texts)) >= rules.least_tokens
@@ -316,8 +332,10 @@ def corpus_company(df: DataFrame, rules: SpamRules = SpamRules()) -> Company:
 def _found_batches(model, rules: SpamRules):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shares = matter_shares(batch.column(1).to_pylist(), model.value, rules)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shares, pa.float64())], names=["doc_id", "matter"])
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                shares = matter_shares(part.column(1).to_pylist(), model.value, rules)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(shares, pa.float64())], names=["doc_id", "matter"])
 
     return run
 
