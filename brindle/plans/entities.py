@@ -189,7 +189,7 @@ def page_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def query_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search phrases from the verticals of the rankings and the categories of the log, both short lists."""
     terms = table(spark, sf_dir, "rankings").filter("vertical <> ''").select("vertical").distinct().withColumn("pos", F.row_number().over(Window.orderBy("vertical")) - 1).select("pos", F.replace("vertical", F.lit("_"), F.lit(" ")).alias("term"))
-    values = table(spark, sf_dir, "observations").select(F.lower(F.explode("categories")).alias("value")).filter("value <> ''").distinct().withColumn("pos", F.row_number().over(Window.orderBy("value")) - 1)
+    values = table(spark, sf_dir, "observations").select(F.explode("categories").alias("value")).select(F.lower("value").alias("value")).filter("value <> ''").distinct().withColumn("pos", F.row_number().over(Window.orderBy("value")) - 1)
     return R.query_family(terms, values, 20).withColumn("p", F.col("p").cast("bigint"))
 
 

@@ -23,16 +23,17 @@ from brindle.session import checkpointed, table
 @query(
     "source_reliability",
     f"WITH {RECIPES}, {COVERAGE}, r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY run_day DESC) AS nth FROM coverage), a AS (SELECT source, count(*) AS runs_sampled, count(*) FILTER (WHERE status = 'ok') / count(*)::DOUBLE AS run_success_rate, max(run_day) AS last_checked, arg_max(status, run_day) = 'ok' AS healthy_at_last_check FROM r WHERE nth <= 30 GROUP BY 1),"
-    " c AS (SELECT source, count(*) AS known_recipes, avg(coalesce(confidence, 0)) AS mean_confidence, count(*) FILTER (WHERE evidence_status = 'legacy_unverified') AS legacy_pending FROM recipes GROUP BY 1), s AS (SELECT source FROM a UNION SELECT source FROM c)"
+    " c AS (SELECT source, count(*) AS known_recipes, sum(CAST(round(coalesce(confidence, 0) * 10000) AS BIGINT))::DOUBLE / count(*) / 10000 AS mean_confidence, count(*) FILTER (WHERE evidence_status = 'legacy_unverified') AS legacy_pending FROM recipes GROUP BY 1), s AS (SELECT source FROM a UNION SELECT source FROM c)"
     " SELECT source, coalesce(runs_sampled, 0) AS runs_sampled, round(run_success_rate, 6) AS run_success_rate, last_checked, coalesce(healthy_at_last_check, false) AS healthy_at_last_check, coalesce(known_recipes, 0) AS known_recipes, round(mean_confidence, 6) AS mean_confidence, coalesce(legacy_pending, 0) AS legacy_pending FROM s LEFT JOIN a USING (source) LEFT JOIN c USING (source)",
 )
 def source_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sources of runs or recipes with the success of their last 30 runs and the state of their recipes."""
+    """Sources of runs or recipes with the success of their last 30 runs and the state of their recipes; confidences are
+    summed as whole numbers, so the mean does not depend on the order of rows."""
     nth = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("run_day")))
     a = coverage(spark, sf_dir).withColumn("nth", nth).filter("nth <= 30").groupBy("source").agg(
         F.count(F.lit(1)).alias("runs_sampled"), F.round(F.avg((F.col("status") == "ok").cast("double")), 6).alias("run_success_rate"), F.max("run_day").alias("last_checked"), (F.max_by("status", "run_day") == "ok").alias("healthy_at_last_check")
     )
-    c = recipes(spark, sf_dir, "evidence_status").groupBy("source").agg(F.count(F.lit(1)).alias("known_recipes"), F.round(F.avg(F.coalesce("confidence", F.lit(0.0))), 6).alias("mean_confidence"), F.count_if(F.col("evidence_status") == "legacy_unverified").alias("legacy_pending"))
+    c = recipes(spark, sf_dir, "evidence_status").groupBy("source").agg(F.count(F.lit(1)).alias("known_recipes"), F.round(F.sum(F.round(F.coalesce("confidence", F.lit(0.0)) * 10000).cast("bigint")).cast("double") / F.count(F.lit(1)) / 10000, 6).alias("mean_confidence"), F.count_if(F.col("evidence_status") == "legacy_unverified").alias("legacy_pending"))
     return a.join(c, "source", "full").fillna(0, ["runs_sampled", "known_recipes", "legacy_pending"]).fillna(False, ["healthy_at_last_check"])
 
 
